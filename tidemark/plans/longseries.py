@@ -23,19 +23,23 @@ from pyspark.sql import functions as F
 from tidemark.plans.scratch import written
 
 POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
-DEFAULT_CHUNK = 1_000_000
+MAX_CHUNK = 1_000_000
+MIN_CHUNK = 1_000
+CHUNKS_PER_PARTITION = 4
 
 
-def index_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``_rn``: the 0-based position of each row in (keys, order) over the whole table.
-
-    ``order`` must be unique within a series; add an id column to it if timestamps repeat.
-    """
-    placed = written(
+def place_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The table in (keys, order) range partitions, written, with the position of each row within
+    its partition in ``_id``."""
+    return written(
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
+
+
+def number_rows(placed: DataFrame) -> DataFrame:
+    """Replace ``_id`` by ``_rn``, the position over the whole table."""
     part = F.shiftright("_id", POSITION_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -50,6 +54,22 @@ def index_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     )
 
 
+def index_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``_rn``: the 0-based position of each row in (keys, order) over the whole table.
+
+    ``order`` must be unique within a series; add an id column to it if timestamps repeat.
+    """
+    return number_rows(place_rows(df, keys, order))
+
+
+def chunk_length(placed: DataFrame, reach: int, chunk_rows: int | None) -> int:
+    """Rows per chunk: a few chunks per shuffle partition, at most ``MAX_CHUNK``, at least the reach."""
+    if chunk_rows is None:
+        partitions = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunk_rows = min(MAX_CHUNK, max(placed.count() // (CHUNKS_PER_PARTITION * partitions), MIN_CHUNK))
+    return max(chunk_rows, reach, 1)
+
+
 def over_chunks(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,11 +77,12 @@ def over_chunks(
     build: Callable[[WindowSpec], Sequence[Column]],
     back: int,
     ahead: int = 0,
-    chunk_rows: int = DEFAULT_CHUNK,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Append the columns of ``build(window)``, whose frames reach at most ``back`` rows behind and
     ``ahead`` rows past the current row."""
-    size = max(chunk_rows, back, ahead, 1)
+    placed = place_rows(df, keys, order)
+    size = chunk_length(placed, max(back, ahead), chunk_rows)
     home = F.floor(F.col("_rn") / size)
     spot = F.col("_rn") % size
     targets = F.array(
@@ -70,7 +91,7 @@ def over_chunks(
         F.when(spot < ahead, home - 1),
     )
     spread = (
-        index_rows(df, keys, order)
+        number_rows(placed)
         .withColumn("_home", home)
         .withColumn("_chunk", F.explode(F.array_compact(targets)))
     )
@@ -87,11 +108,13 @@ def with_neighbours(
     keys: Sequence[str],
     order: Sequence[str],
     col: str,
-    chunk_rows: int = DEFAULT_CHUNK,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_rn``, ``_prev`` and ``_next``: the nearest non-null (position, value) at or before, and
     at or after, each row of the series, however far away it lies."""
-    chunked = index_rows(df, keys, order).withColumn("_chunk", F.floor(F.col("_rn") / chunk_rows))
+    placed = place_rows(df, keys, order)
+    size = chunk_length(placed, 1, chunk_rows)
+    chunked = number_rows(placed).withColumn("_chunk", F.floor(F.col("_rn") / size))
     known = F.when(F.col(col).isNotNull(), F.struct(F.col("_rn").alias("pos"), F.col(col).alias("value")))
 
     edges = chunked.groupBy("_chunk", *keys).agg(F.min(known).alias("_first"), F.max(known).alias("_last"))
