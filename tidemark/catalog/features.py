@@ -12,6 +12,7 @@ from tidemark.functions.scalars import flag
 from tidemark.operators import labels as L
 from tidemark.operators import splits as P
 from tidemark.operators import windows as W
+from tidemark.operators.clean import drop_nulls
 from tidemark.operators.stats import describe
 from tidemark.plans import features as X
 from tidemark.plans.features import AIR, POLLEN
@@ -240,7 +241,7 @@ def season_lags(spark: SparkSession, folder: str) -> DataFrame:
     """Lags inside a season-filtered frame run by row: the first day of March follows September."""
     season = X.season_only(daily.all_three(spark, folder).select(*KEYS, "total", "rain"), 3, 9)
     lagged = season.select(*KEYS, "total", F.col("rain").alias("rain_lag0"), *W.lags("rain", [1, 2, 3], site_window()))
-    return lagged.na.drop("any")
+    return drop_nulls(lagged)
 
 
 @query(

@@ -1 +1,406 @@
+"""Model jobs. Sizes are small so that a run stays short; the library defaults are the full sizes."""
 
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.catalog.base import daily_sql, query, r, rounded
+from tidemark.catalog.features import SITE_AIR, SITE_POLLEN, aqi_table, pollen_log_table, two_stage_table
+from tidemark.catalog.scans import scratch_path
+from tidemark.functions.scalars import aqi_band, jitter_normal, pollen_level
+from tidemark.models import clusters as K
+from tidemark.models import linear as L
+from tidemark.models import trees as T
+from tidemark.models.blends import fit_two_stage, mean_of, two_stage_predict
+from tidemark.models.prepare import Matrix, matrix, predict_with
+from tidemark.models.registry import MODELS, Settings, load_model, load_saved, save_model, selected_fit
+from tidemark.operators import metrics as E
+from tidemark.operators import splits as P
+from tidemark.operators import stats as G
+from tidemark.operators.ordering import top_k
+from tidemark.plans import features as X
+from tidemark.plans.scalar_stats import constants
+from tidemark.plans.scratch import written
+from tidemark.sources import daily
+
+KEYS = ["site", "date"]
+FOREST = T.Forest(trees=20, depth=5)
+BOOST = T.Boosting(rounds=10, depth=4, step=0.1)
+SETTINGS = Settings(
+    keys=("site",), test_from=2000, val_year=1999, forest=FOREST, depth_wise=BOOST,
+    leaf_wise=replace(BOOST, depth=5, subset="0.8"), classifier=FOREST,
+)
+SCORES = ["mae", "mse", "rmse", "r2"]
+WEATHER = ["temp", "rain", "apparent", "gust", "wind", "wind_dir"]
+
+
+def air_data(spark: SparkSession, folder: str, scale: bool = False) -> Matrix:
+    """53 features, built within each split, as a matrix."""
+    built = aqi_table(spark, folder, within_split=True)
+    names = X.feature_names(built, SITE_AIR)
+    return matrix(built, names, "aqi", scale=scale, train_splits=("train", "val"))
+
+
+def scored(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*KEYS, *cols)
+
+
+# ---- linear models ---------------------------------------------------------------------------
+
+TWO = ["temp", "rain"]
+MOMENTS = (
+    "m AS (SELECT var_pop(temp) AS a, var_pop(rain) AS b, covar_pop(temp, rain) AS c, covar_pop(temp, total) AS d, "
+    "covar_pop(rain, total) AS e, avg(temp) AS ma, avg(rain) AS mb, avg(total) AS my, CAST(count(*) AS DOUBLE) AS n FROM all_three "
+    "WHERE year(date) < 2000)"
+)
+
+
+def two_feature_train(spark: SparkSession, folder: str, scale: bool = False) -> Matrix:
+    parts = P.split_by_year(daily.all_three(spark, folder).select(*KEYS, *TWO, "total"), 2000)
+    return matrix(parts, TWO, "total", scale=scale)
+
+
+@query(
+    "linear_regression",
+    daily_sql(
+        """
+SELECT unnest(['temp', 'rain', 'intercept']) AS term, round(unnest([w1, w2, my - w1 * ma - w2 * mb]), 5) AS weight
+FROM (SELECT *, (d * b - c * e) / (a * b - c * c) AS w1, (a * e - c * d) / (a * b - c * c) AS w2 FROM m)
+""",
+        MOMENTS,
+    ),
+)
+def linear_regression(spark: SparkSession, folder: str) -> DataFrame:
+    """Coefficients of total pollen on temperature and rain, over the train rows."""
+    data = two_feature_train(spark, folder)
+    return rounded(L.coefficients(L.fit_ols(data.train, data.label), data.names, data.table), 5, "weight")
+
+
+@query(
+    "ridge",
+    daily_sql(
+        """
+SELECT unnest(['temp', 'rain', 'intercept']) AS term, round(unnest([w1, w2, my]), 5) AS weight FROM (
+  SELECT my, (z1 * (1 + k) - q * z2) / ((1 + k) * (1 + k) - q * q) AS w1, (z2 * (1 + k) - q * z1) / ((1 + k) * (1 + k) - q * q) AS w2
+  FROM (SELECT my, d / sqrt(a) AS z1, e / sqrt(b) AS z2, c / sqrt(a * b) AS q, 1 / n AS k FROM m))
+""",
+        MOMENTS,
+    ),
+)
+def ridge(spark: SparkSession, folder: str) -> DataFrame:
+    """Alpha 1 on features standardized over the train rows."""
+    data = two_feature_train(spark, folder, scale=True)
+    return rounded(L.coefficients(L.fit_ridge(data.train, data.label, 1.0), data.names, data.table), 5, "weight")
+
+
+@query("ridge_aqi")
+def ridge_aqi(spark: SparkSession, folder: str) -> DataFrame:
+    """Ridge on all 53 features, train and validation rows, scored on test rows."""
+    data = air_data(spark, folder, scale=True)
+    fitted = L.fit_ridge(data.part("train", "val"), data.label, 1.0)
+    return E.regression_metrics(predict_with(fitted, data.part("test")), "aqi", "predicted")
+
+
+@query("lasso")
+def lasso(spark: SparkSession, folder: str) -> DataFrame:
+    data = air_data(spark, folder, scale=True)
+    fitted = L.fit_lasso(data.part("train", "val"), data.label, 0.01)
+    return E.regression_metrics(predict_with(fitted, data.part("test")), "aqi", "predicted")
+
+
+@query("harmonic_regression")
+def harmonic_regression(spark: SparkSession, folder: str) -> DataFrame:
+    """Three fits on all rows: pollen on season; pollen on season and weather; air quality on
+    pollutants and weather. One row of metrics each."""
+    joined = daily.all_three(spark, folder)
+    first = constants(joined, {"y": F.min(F.year("date"))})["y"]
+    seasonal = ["day_sin", "day_cos", "day_sin2", "day_cos2", "year_normalized"]
+    base = written(joined.select("*", *X.harmonic_columns("date", first), F.lit("train").alias("split")))
+    fits = {
+        "pollen_season": ("total", seasonal),
+        "pollen_season_weather": ("total", [*seasonal, "temp", "rain", "wind"]),
+        "aqi_pollutants_weather": ("aqi", ["pm25", "o3", "co", "no2", "so2", "temp", "rain", "wind"]),
+    }
+    results = []
+    for name, (target, names) in fits.items():
+        data = matrix(base, names, target)
+        table = predict_with(L.fit_ols(data.train, target), data.train)
+        results.append(E.regression_metrics(table, target, "predicted").withColumn("fit", F.lit(name)))
+    return P.union_splits(*results)
+
+
+@query("weather_baseline")
+def weather_baseline(spark: SparkSession, folder: str) -> DataFrame:
+    """Air quality from same-day weather: linear model and forest, last fifth of each series as test."""
+    parts = P.split_fraction(daily.air_weather(spark, folder).select(*KEYS, "aqi", *WEATHER), 0.2, ["site"])
+    data = matrix(parts, WEATHER, "aqi")
+    fits = {"linear": L.fit_ols(data.train, "aqi"), "forest": T.fit_forest(data.train, "aqi", FOREST)}
+    tables = [predict_with(m, data.table).select("split", "aqi", "predicted", F.lit(n).alias("fit")) for n, m in fits.items()]
+    return E.regression_metrics(P.union_splits(*tables), "aqi", "predicted", ["fit", "split"])
+
+
+# ---- trees -----------------------------------------------------------------------------------
+
+
+@query("rf_regressor")
+def rf_regressor(spark: SparkSession, folder: str) -> DataFrame:
+    data = air_data(spark, folder)
+    fitted = T.fit_forest(data.part("train", "val"), "aqi", FOREST)
+    return scored(predict_with(fitted, data.part("test")), "aqi", "predicted")
+
+
+@query("rf_log_target")
+def rf_log_target(spark: SparkSession, folder: str) -> DataFrame:
+    """Forest with at least four rows per leaf on the log target, taken back by expm1."""
+    return load_model("pollen_forest").predict(tables_of(spark, folder), SETTINGS)
+
+
+@query("gbt_regressor")
+def gbt_regressor(spark: SparkSession, folder: str) -> DataFrame:
+    """Boosting that stops on the validation year."""
+    data = air_data(spark, folder)
+    rows = T.with_validation_flag(data.part("train", "val"))
+    fitted = T.fit_boosted(rows, "aqi", replace(BOOST, stop_on="is_validation"))
+    return scored(predict_with(fitted, data.part("test")), "aqi", "predicted")
+
+
+@query("gbt_leaf_wise")
+def gbt_leaf_wise(spark: SparkSession, folder: str) -> DataFrame:
+    """About 31 leaves per tree: depth 5, smaller steps."""
+    data = air_data(spark, folder)
+    fitted = T.fit_boosted(data.part("train", "val"), "aqi", SETTINGS.leaf_wise)
+    return scored(predict_with(fitted, data.part("test")), "aqi", "predicted")
+
+
+def log_data(spark: SparkSession, folder: str) -> Matrix:
+    built = pollen_log_table(spark, folder)
+    names = [c for c in X.feature_names(built, SITE_POLLEN) if c not in ("total_capped", "log_total")]
+    return matrix(built, names, "log_total")
+
+
+@query("gbt_weighted")
+def gbt_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    data = log_data(spark, folder)
+    fitted = T.fit_boosted(data.train, "log_total", BOOST, "weight")
+    table = predict_with(fitted, data.part("test")).withColumn("predicted", F.expm1("predicted"))
+    return scored(table, "total", "predicted")
+
+
+@query("importance_select")
+def importance_select(spark: SparkSession, folder: str) -> DataFrame:
+    """Features kept by importance in a first weighted fit, and the metrics of the second fit."""
+    data = log_data(spark, folder)
+    kept, fitted = selected_fit(data.train, "log_total", BOOST, "weight")
+    table = predict_with(fitted, T.keep_features(data.part("test"), kept)).withColumn("predicted", F.expm1("predicted"))
+    names = F.array(*[F.lit(data.names[i]) for i in sorted(kept)])
+    return E.regression_metrics(table, "total", "predicted").withColumn("kept", F.array_join(names, ","))
+
+
+@query("level_classifier")
+def level_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Class-weighted classifiers for three pollen types: observed and forecast levels."""
+    return load_model("pollen_levels").predict(tables_of(spark, folder), SETTINGS)
+
+
+@query("level_report")
+def level_report(spark: SparkSession, folder: str) -> DataFrame:
+    table = written(load_model("pollen_levels").predict(tables_of(spark, folder), SETTINGS))
+    reports = [
+        E.classification_report(table, f"{k}_observed", f"{k}_forecast", list(range(5))).withColumn("kind", F.lit(k))
+        for k in ("tree", "grass", "weed")
+    ]
+    return P.union_splits(*reports)
+
+
+@query("level_scatter")
+def level_scatter(spark: SparkSession, folder: str) -> DataFrame:
+    """Observed and forecast levels with a little normal noise, so that points do not cover each other."""
+    table = load_model("pollen_levels").predict(tables_of(spark, folder), SETTINGS)
+    return scored(
+        table,
+        jitter_normal("tree_observed", 42).alias("observed"),
+        jitter_normal("tree_forecast", 43).alias("forecast"),
+    )
+
+
+def spike_data(spark: SparkSession, folder: str) -> Matrix:
+    """The ratio defines the label, so it is left out of the features."""
+    built = two_stage_table(spark, folder, year_lag=False)
+    skip = {"spike_z", "is_spike", "target_asinh", "ratio_1d_7d", "temp", "wind", "rain"}
+    names = [c for c in X.feature_names(built, SITE_POLLEN) if c not in skip]
+    return matrix(built, names, "target_asinh", missing="median")
+
+
+@query("spike_classifier")
+def spike_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Spike probability, scored by the area under the ROC curve on validation and test rows."""
+    data = spike_data(spark, folder)
+    table = T.with_probability(T.fit_spike_classifier(data.train, how=BOOST), data.part("val", "test"), "p")
+    return E.roc_auc(table.select("split", "is_spike", "p"), "is_spike", "p", ["split"])
+
+
+@query("two_stage_mixture")
+def two_stage_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """All three fits stop on the validation year; scored on test rows."""
+    data = spike_data(spark, folder)
+    rows = T.with_validation_flag(data.part("train", "val"))
+    models = fit_two_stage(rows, how=replace(BOOST, stop_on="is_validation"))
+    return scored(two_stage_predict(models, data.part("test")), "total", "spike_probability", "predicted")
+
+
+def ensemble_table(spark: SparkSession, folder: str, splits: tuple[str, ...] = ("test",)) -> DataFrame:
+    data = air_data(spark, folder)
+    train = data.part("train", "val")
+    models = [
+        T.fit_boosted(train, "aqi", SETTINGS.depth_wise),
+        T.fit_boosted(train, "aqi", SETTINGS.leaf_wise),
+        T.fit_forest(train, "aqi", FOREST),
+    ]
+    return mean_of(models, data.part(*splits))
+
+
+@query("ensemble_mean")
+def ensemble_mean(spark: SparkSession, folder: str) -> DataFrame:
+    return scored(ensemble_table(spark, folder), "aqi", "predicted")
+
+
+@query("ensemble_metrics_by_split")
+def ensemble_metrics_by_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Fit rows next to test rows, to see overfitting."""
+    table = ensemble_table(spark, folder, ("train", "val", "test"))
+    part = F.when(F.col("split") == "test", "test").otherwise("fit")
+    return E.regression_metrics(table.withColumn("part", part), "aqi", "predicted", ["part"])
+
+
+@query("ensemble_band_metrics")
+def ensemble_band_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    table = ensemble_table(spark, folder)
+    bands = table.select(aqi_band("aqi").alias("band"), aqi_band("predicted").alias("said"))
+    return E.classification_report(bands, "band", "said", list(range(5)))
+
+
+@query("refit_train_val")
+def refit_train_val(spark: SparkSession, folder: str) -> DataFrame:
+    """Test error of a fit on train rows against a refit on train and validation rows."""
+    data = air_data(spark, folder)
+    tables = [
+        predict_with(T.fit_forest(data.part(*parts), "aqi", FOREST), data.part("test"))
+        .select("aqi", "predicted", F.lit("+".join(parts)).alias("fitted_on"))
+        for parts in (("train",), ("train", "val"))
+    ]
+    return E.regression_metrics(P.union_splits(*tables), "aqi", "predicted", ["fitted_on"])
+
+
+@query("tune_on_val")
+def tune_on_val(spark: SparkSession, folder: str) -> DataFrame:
+    """Validation error for a small grid of settings, best first; the test rows stay untouched."""
+    data = air_data(spark, folder)
+    tables = [
+        predict_with(T.fit_forest(data.train, "aqi", replace(FOREST, depth=depth, min_leaf=leaf)), data.part("val"))
+        .select("aqi", "predicted", F.lit(depth).alias("depth"), F.lit(leaf).alias("min_leaf"))
+        for depth in (3, 5)
+        for leaf in (1, 10)
+    ]
+    return E.regression_metrics(P.union_splits(*tables), "aqi", "predicted", ["depth", "min_leaf"]).orderBy("rmse")
+
+
+@query("feature_importance")
+def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """The 15 most important features, least first."""
+    data = air_data(spark, folder)
+    fitted = T.fit_forest(data.train, "aqi", FOREST)
+    return top_k(T.importances(fitted, data.names, data.table), "importance", 15, "feature")
+
+
+@query("model_save_load")
+def model_save_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of a fitted model and of its saved copy."""
+    data = air_data(spark, folder)
+    path = scratch_path(spark, "model")
+    fitted = T.fit_forest(data.train, "aqi", FOREST)
+    save_model(fitted, path)
+    both = predict_with(load_saved(path), predict_with(fitted, data.part("test")), "predicted_loaded")
+    return scored(both, "predicted", "predicted_loaded")
+
+
+# ---- registry --------------------------------------------------------------------------------
+
+
+def tables_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {
+        "pollutants": daily.air(spark, folder),
+        "weather": daily.weather(spark, folder),
+        "pollen": daily.pollen(spark, folder),
+    }
+
+
+@query("model_registry")
+def model_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """Every registered numeric forecast model on the same tables: test error per model."""
+    tables = {name: written(df) for name, df in tables_of(spark, folder).items()}
+    results = [
+        MODELS[name].predict(tables, SETTINGS).select("observed", "predicted", F.lit(name).alias("model"))
+        for name in sorted(MODELS)
+        if name != "pollen_levels"
+    ]
+    return E.regression_metrics(P.union_splits(*results), "observed", "predicted", ["model"])
+
+
+# ---- clusters and components -----------------------------------------------------------------
+
+CLUSTER_COLS = ["aqi", "total", "temp", "rain", "wind"]
+
+
+def vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return K.scaled_vectors(daily.all_three(spark, folder).select(*KEYS, *CLUSTER_COLS), CLUSTER_COLS)
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return scored(K.with_cluster(vectors(spark, folder), 3), "cluster")
+
+
+@query("kmeans_feature_clusters")
+def kmeans_feature_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Four clusters of yesterday's pollutants and weather, and today's index per cluster as a box."""
+    cols = [f"{c}_lag1" for c in ("pm25", "o3", "no2", "so2", "co", "temp", "wind", "rain")]
+    labelled = K.with_cluster(K.scaled_vectors(aqi_table(spark, folder).select(*KEYS, "aqi", *cols), cols), 4)
+    return G.box_stats(written(labelled.select("cluster", "aqi")), "aqi", ["cluster"])
+
+
+@query("cluster_profile")
+def cluster_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return K.cluster_profile(K.with_cluster(vectors(spark, folder), 3), CLUSTER_COLS)
+
+
+@query("elbow_costs")
+def elbow_costs(spark: SparkSession, folder: str) -> DataFrame:
+    return K.elbow_costs(vectors(spark, folder), range(1, 9))
+
+
+@query("pca_2d")
+def pca_2d(spark: SparkSession, folder: str) -> DataFrame:
+    return K.two_components(vectors(spark, folder), KEYS)
+
+
+@query(
+    "pca_variance",
+    daily_sql("SELECT round(1 + abs(corr(temp, gust)), 5) AS var_pc1, round(1 - abs(corr(temp, gust)), 5) AS var_pc2 FROM weather"),
+)
+def pca_variance(spark: SparkSession, folder: str) -> DataFrame:
+    """Variance along both components of two standardized columns: 1 +- their correlation."""
+    pair = K.scaled_vectors(daily.weather(spark, folder).select(*KEYS, "temp", "gust"), ["temp", "gust"])
+    parts = K.two_components(pair, KEYS)
+    return parts.agg(r(F.var_pop("pc1"), "var_pc1", 5), r(F.var_pop("pc2"), "var_pc2", 5))
+
+
+@query("level_counts", daily_sql(
+    "SELECT lv, count(*) AS n FROM (SELECT CASE WHEN tree < 1 THEN 0 WHEN tree <= 14 THEN 1 WHEN tree <= 89 THEN 2 "
+    "WHEN tree <= 1499 THEN 3 ELSE 4 END AS lv FROM pollen) GROUP BY lv"
+))
+def level_counts(spark: SparkSession, folder: str) -> DataFrame:
+    levels = daily.pollen(spark, folder).select(pollen_level("tree", "tree").alias("lv"))
+    return G.value_counts(levels, "lv")

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.prepare import assemble
+from tidemark.operators.clean import drop_nulls
 from tidemark.operators.stats import standardized
 from tidemark.plans.scratch import written
 
 
 def scaled_vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows without gaps, with ``features`` standardized and the source columns untouched."""
-    known = written(df.na.drop("any", subset=list(cols)))
+    known = written(drop_nulls(df, cols))
     copies = known.withColumns({f"_z_{c}": F.col(c) for c in cols})
     scaled = standardized(copies, [f"_z_{c}" for c in cols])
     vectors = assemble(scaled, [f"_z_{c}" for c in cols]).drop(*[f"_z_{c}" for c in cols])

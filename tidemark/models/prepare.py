@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.clean import fill_train_median
+from tidemark.operators.clean import drop_nulls, fill_train_median
 from tidemark.operators.stats import standardized
 from tidemark.plans.scratch import written
 
@@ -54,7 +54,7 @@ def matrix(
         usable = fill_train_median(written(usable.withColumns(flags)), names)
         names = [*names, *flags]
     else:
-        usable = usable.na.drop("any", subset=names)
+        usable = drop_nulls(usable, names)
     if scale:
         usable = written(usable)
         usable = standardized(usable, names, usable.filter(F.col("split").isin(*train_splits)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,15 +14,14 @@ from tidemark.plans.ranking import long_format, quantiles
 from tidemark.plans.scalar_stats import constants, one_row
 
 
-def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=list(subset) if subset else None)
+def all_present(cols: Sequence[str]) -> Column:
+    """One conjunction of plain not-null tests. The planner keeps each test as its own fact; a single
+    test over all columns would be copied for every combination of later aliases."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
 
-def all_present(cols: Sequence[str]) -> Column:
-    mask = F.lit(True)
-    for c in cols:
-        mask = mask & F.col(c).isNotNull()
-    return mask
+def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    return df.filter(all_present(list(subset) if subset else df.columns))
 
 
 def count_dropped(df: DataFrame, required: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

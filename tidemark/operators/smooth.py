@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.clean import drop_nulls
 from tidemark.plans.longseries import index_rows
 from tidemark.plans.scalar_stats import constants
 from tidemark.plans.scratch import written
@@ -49,8 +50,8 @@ def lowess(df: DataFrame, x: str, y: str, fraction: float = 2 / 3, points: int =
     consecutive rows in x order, so it is the smallest reach over all runs of k rows, and a run is a
     row joined to the row k - 1 positions later.
     """
-    known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop()
-    known = written(known)
+    known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    known = written(drop_nulls(known))
     stats = constants(known, {"lo": F.min("x"), "hi": F.max("x"), "n": F.count(F.lit(1))})
     k = F.greatest(F.ceil(F.lit(fraction) * stats["n"]), F.lit(2)).cast("bigint")
 

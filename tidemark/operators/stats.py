@@ -12,6 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.clean import drop_nulls
 from tidemark.plans.ranking import average_rank, long_format, quantiles_of_ranked, ranked_counts
 from tidemark.plans.scalar_stats import constants
 from tidemark.plans.scratch import written
@@ -165,7 +166,7 @@ def with_ranks(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> Da
 
 def spearman(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> DataFrame:
     """Rank correlation over the rows in which every column holds a value."""
-    complete = df.select(*row_key, *cols).na.drop("any", subset=list(cols))
+    complete = drop_nulls(df.select(*row_key, *cols), cols)
     return pearson(with_ranks(written(complete), cols, row_key), cols)
 
 
