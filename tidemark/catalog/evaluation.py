@@ -69,7 +69,8 @@ SELECT b.bin, coalesce(n, 0) AS n FROM (SELECT unnest(generate_series(0, 19)) AS
 )
 def residual_histogram(spark: SparkSession, folder: str) -> DataFrame:
     errors = E.residuals(persistence_forecast(spark, folder), "aqi", "predicted")
-    return G.histogram(errors.select(F.round("residual", 2).alias("e")), "e", 20).select("bin", "n")
+    rounded_errors = daily.stored(errors.select(F.round("residual", 2).alias("e")))
+    return G.histogram(rounded_errors, "e", 20).select("bin", "n")
 
 
 # ---- class metrics ---------------------------------------------------------------------------

@@ -420,7 +420,7 @@ CALENDAR_INTS = ["month", "day_of_year", "weekday", "is_weekend"]
 
 
 def aqi_table(spark: SparkSession, folder: str, within_split: bool = False) -> DataFrame:
-    parts = P.split_relative(daily.air_weather(spark, folder))
+    parts = P.split_relative(daily.stored(daily.air_weather(spark, folder)))
     return X.aqi_features(parts, SITE_AIR, within_split)
 
 
@@ -614,5 +614,6 @@ def pollen_features_two_stage(spark: SparkSession, folder: str) -> DataFrame:
 )
 def feature_describe(spark: SparkSession, folder: str) -> DataFrame:
     """Summary of built features."""
-    summary = describe(aqi_table(spark, folder).select("aqi_lag2", "aqi_roll7"), ["aqi_lag2", "aqi_roll7"])
+    built = daily.stored(aqi_table(spark, folder).select("aqi_lag2", "aqi_roll7"))
+    summary = describe(built, ["aqi_lag2", "aqi_roll7"])
     return summary.select("variable", F.col("count").alias("n"), r("mean", "mean"), r("q50", "q50"))

@@ -115,10 +115,10 @@ def lasso(spark: SparkSession, folder: str) -> DataFrame:
 def harmonic_regression(spark: SparkSession, folder: str) -> DataFrame:
     """Three fits on all rows: pollen on season; pollen on season and weather; air quality on
     pollutants and weather. One row of metrics each."""
-    joined = daily.all_three(spark, folder)
+    joined = daily.stored(daily.all_three(spark, folder))
     first = constants(joined, {"y": F.min(F.year("date"))})["y"]
     seasonal = ["day_sin", "day_cos", "day_sin2", "day_cos2", "year_normalized"]
-    base = written(joined.select("*", *X.harmonic_columns("date", first), F.lit("train").alias("split")))
+    base = joined.select("*", *X.harmonic_columns("date", first), F.lit("train").alias("split"))
     fits = {
         "pollen_season": ("total", seasonal),
         "pollen_season_weather": ("total", [*seasonal, "temp", "rain", "wind"]),

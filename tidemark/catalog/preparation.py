@@ -209,7 +209,8 @@ def fill_zero(spark: SparkSession, folder: str) -> Frame:
     ),
 )
 def fill_mean(spark: SparkSession, folder: str) -> Frame:
-    return rounded(C.fill_mean(gappy(spark, folder).select(*KEYS, "pm25", "total"), ["pm25", "total"]), 6, "pm25", "total")
+    table = daily.stored(gappy(spark, folder).select(*KEYS, "pm25", "total"))
+    return rounded(C.fill_mean(table, ["pm25", "total"]), 6, "pm25", "total")
 
 
 @query(
@@ -221,7 +222,7 @@ def fill_mean(spark: SparkSession, folder: str) -> Frame:
     ),
 )
 def fill_mean_train(spark: SparkSession, folder: str) -> Frame:
-    df = gappy(spark, folder).select(*KEYS, "pm25")
+    df = daily.stored(gappy(spark, folder).select(*KEYS, "pm25"))
     return rounded(C.fill_mean(df, ["pm25"], fit_on=df.filter(F.year("date") < 2000)), 6, "pm25")
 
 
@@ -239,7 +240,7 @@ def fill_mean_train(spark: SparkSession, folder: str) -> Frame:
 )
 def fill_train_median(spark: SparkSession, folder: str) -> Frame:
     cols = ["pm25", "rain", "total"]
-    parts = P.split_by_year(gappy(spark, folder).select(*KEYS, *cols), TEST_FROM)
+    parts = P.split_by_year(daily.stored(gappy(spark, folder).select(*KEYS, *cols)), TEST_FROM)
     return rounded(C.fill_train_median(parts, cols), 6, *cols)
 
 
@@ -385,7 +386,7 @@ FROM air, (SELECT avg(aqi) AS m, stddev_pop(aqi) AS s, avg(aqi) + 2 * stddev_sam
 )
 def train_stats_apply(spark: SparkSession, folder: str) -> Frame:
     """Statistics of the train rows applied to all rows, without a driver round trip or a join."""
-    air = daily.air(spark, folder).select(*KEYS, "aqi")
+    air = daily.stored(daily.air(spark, folder).select(*KEYS, "aqi"))
     train = air.filter(F.year("date") < TEST_FROM)
     known = constants(
         train,
@@ -404,7 +405,7 @@ SPLIT_REL = """rel AS (SELECT site, date, aqi, CASE
 
 
 def relative(spark: SparkSession, folder: str) -> Frame:
-    return P.split_relative(daily.air(spark, folder).select(*KEYS, "aqi"))
+    return P.split_relative(daily.stored(daily.air(spark, folder).select(*KEYS, "aqi")))
 
 
 @query("split_relative", daily_sql("SELECT * FROM rel", SPLIT_REL))
@@ -420,7 +421,7 @@ def split_relative(spark: SparkSession, folder: str) -> Frame:
     ),
 )
 def split_relative_two_way(spark: SparkSession, folder: str) -> Frame:
-    return P.split_relative(daily.air(spark, folder).select(*KEYS), validation=False)
+    return P.split_relative(daily.stored(daily.air(spark, folder).select(*KEYS)), validation=False)
 
 
 @query(

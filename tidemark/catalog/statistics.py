@@ -270,7 +270,7 @@ def boxplot_by_season(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def boxplot_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    pollen = daily.pollen(spark, folder).select(*KEYS, "total")
+    pollen = daily.stored(daily.pollen(spark, folder).select(*KEYS, "total"))
     return G.outlier_rows(pollen, "total", G.box_stats(pollen, "total"))
 
 

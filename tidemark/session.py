@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # call-site capture costs several milliseconds per column expression on the driver
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

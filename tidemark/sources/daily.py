@@ -11,9 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.scratch import written
 from tidemark.sources.readers import read_table
 
 KEYS = ("site", "date")
+AIR_COLS = ("aqi", "pm25", "o3", "co", "no2", "so2")
+WEATHER_COLS = ("temp", "rain", "wind", "gust", "apparent", "wind_dir")
+POLLEN_COLS = ("tree", "grass", "weed", "total")
 
 
 def _cents(x: str) -> Column:
@@ -41,32 +45,35 @@ def _hundredths(total: str, per: str) -> Column:
 
 def air(spark: SparkSession, folder: str) -> DataFrame:
     """Air quality: index, five pollutants and the number of readings per site and day."""
-    return (
-        _orders(spark, folder)
-        .groupBy("site", "date")
-        .agg(
-            _hundredths("sum(cents)", "count(*) * 1000").alias("aqi"),
-            _hundredths("max(cents)", "1000").alias("pm25"),
-            _hundredths("min(cents)", "1000").alias("o3"),
-            F.count(F.lit(1)).cast("double").alias("co"),
-            _hundredths("max(cents) - min(cents)", "2000").alias("no2"),
-            _hundredths("sum(cents)", "10000").alias("so2"),
-        )
-    )
+    return _orders(spark, folder).groupBy(*KEYS).agg(*_air_columns())
+
+
+def _air_columns() -> list[Column]:
+    return [
+        _hundredths("sum(cents)", "count(*) * 1000").alias("aqi"),
+        _hundredths("max(cents)", "1000").alias("pm25"),
+        _hundredths("min(cents)", "1000").alias("o3"),
+        F.count(F.lit(1)).cast("double").alias("co"),
+        _hundredths("max(cents) - min(cents)", "2000").alias("no2"),
+        _hundredths("sum(cents)", "10000").alias("so2"),
+    ]
 
 
 def pollen(spark: SparkSession, folder: str) -> DataFrame:
     """Pollen counts by type and in total, per site and day."""
+    by_type = _orders(spark, folder).groupBy(*KEYS).agg(*_pollen_columns())
+    return by_type.withColumn("total", F.col("tree") + F.col("grass") + F.col("weed"))
+
 
+def _pollen_columns() -> list[Column]:
     def counted(status: str, per: int) -> Column:
         return F.expr(f"coalesce(sum(cents) FILTER (WHERE o_orderstatus = '{status}'), 0) div {per}").cast("double")
 
-    return (
-        _orders(spark, folder)
-        .groupBy("site", "date")
-        .agg(counted("P", 25_000).alias("tree"), counted("F", 200_000).alias("grass"), counted("O", 80_000).alias("weed"))
-        .withColumn("total", F.col("tree") + F.col("grass") + F.col("weed"))
-    )
+    return [
+        counted("P", 25_000).alias("tree"),
+        counted("F", 200_000).alias("grass"),
+        counted("O", 80_000).alias("weed"),
+    ]
 
 
 def weather(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,7 +108,18 @@ def air_weather(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_three(spark: SparkSession, folder: str) -> DataFrame:
-    return air_weather(spark, folder).join(pollen(spark, folder), list(KEYS))
+    """The three tables joined. Air and pollen come from the same records, so one scan of them
+    serves both, in place of a join of two aggregates."""
+    records = _orders(spark, folder).groupBy(*KEYS).agg(*_air_columns(), *_pollen_columns())
+    both = records.withColumn("total", F.col("tree") + F.col("grass") + F.col("weed"))
+    joined = both.join(weather(spark, folder), list(KEYS))
+    return joined.select(*KEYS, *AIR_COLS, *WEATHER_COLS, *POLLEN_COLS)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a daily table once for jobs that read it several times (statistics, then their use).
+    The records are then scanned once; the daily table itself is small."""
+    return written(df)
 
 
 # Missing values follow a fixed calendar rule, because the records themselves have none.
