@@ -21,8 +21,7 @@ def scaled_vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     known = written(drop_nulls(df, cols))
     copies = known.withColumns({f"_z_{c}": F.col(c) for c in cols})
     scaled = standardized(copies, [f"_z_{c}" for c in cols])
-    vectors = assemble(scaled, [f"_z_{c}" for c in cols]).drop(*[f"_z_{c}" for c in cols])
-    return written(vectors)
+    return assemble(scaled, [f"_z_{c}" for c in cols]).drop(*[f"_z_{c}" for c in cols])
 
 
 def fit_clusters(vectors: DataFrame, k: int, seed: int = 42) -> KMeansModel:
@@ -41,7 +40,8 @@ def cluster_profile(labelled: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def elbow_costs(vectors: DataFrame, ks: Iterable[int], seed: int = 42) -> DataFrame:
-    """Sum of squared distances to the nearest centre for each k. One fit per k over the written table."""
+    """Sum of squared distances to the nearest centre for each k. One fit per k over a written table."""
+    vectors = written(vectors)
     costs = [(int(k), float(fit_clusters(vectors, k, seed).summary.trainingCost)) for k in ks if k > 1]
     rows = [(1, _single_cluster_cost(vectors)), *costs] if 1 in set(ks) else costs
     return vectors.sparkSession.createDataFrame(rows, "k bigint, cost double").orderBy("k")

@@ -45,7 +45,7 @@ def matrix(
     """Assemble the features. ``missing`` drops rows with a gap, or fills gaps with train medians and
     adds a 0/1 column per feature that says so. ``scale`` standardizes with train statistics.
 
-    The result is written once, since a fit reads it several times.
+    The rows are written once, since a fit reads them several times.
     """
     names = list(names)
     usable = df.filter(F.col(label).isNotNull() & F.col("split").isNotNull())
@@ -58,7 +58,9 @@ def matrix(
     if scale:
         usable = written(usable)
         usable = standardized(usable, names, usable.filter(F.col("split").isin(*train_splits)))
-    return Matrix(written(assemble(usable, names)), tuple(names), label)
+    table = assemble(usable, names)
+    already_stored = scale or missing == "median"
+    return Matrix(table if already_stored else written(table), tuple(names), label)
 
 
 def predict_with(model, df: DataFrame, name: str = "predicted") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.windows import forward_filled, series_window
 from tidemark.plans.longseries import lerp_between
 from tidemark.plans.ranking import long_format, quantiles
-from tidemark.plans.scalar_stats import constants, one_row
+from tidemark.plans.scalar_stats import attach_row
 
 
 def all_present(cols: Sequence[str]) -> Column:
@@ -36,16 +36,23 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fill_mean(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fill nulls with the column mean of the whole table, or of ``fit_on`` (for example train rows)."""
-    means = constants(df if fit_on is None else fit_on, {c: F.avg(c) for c in cols})
-    return df.withColumns({c: F.coalesce(c, means[c]) for c in cols})
+    source = df if fit_on is None else fit_on
+    means = source.agg(*[F.avg(c).alias(c) for c in cols])
+    return fill_from_row(df, cols, means)
+
+
+def fill_from_row(df: DataFrame, cols: Sequence[str], row: DataFrame) -> DataFrame:
+    """Fill nulls of each column by the value of the same name in a one-row table."""
+    filled = {c: F.coalesce(F.col(c), F.col("_stats")[c]) for c in cols}
+    return attach_row(df, row).withColumns(filled).drop("_stats")
 
 
 def fill_train_median(df: DataFrame, cols: Sequence[str], split: str = "split") -> DataFrame:
     """Fill nulls in all splits with medians of the train rows, with one ranking for all columns."""
     train = long_format(df.filter(F.col(split) == "train"), cols)
     medians = quantiles(train, "value", {"median": 0.5}, by=["variable"])
-    row = one_row(medians.agg(*[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in cols]))
-    return df.withColumns({c: F.coalesce(c, row[c]) for c in cols})
+    row = medians.agg(*[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in cols])
+    return fill_from_row(df, cols, row)
 
 
 def forward_fill_zero(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -55,14 +62,20 @@ def forward_fill_zero(df: DataFrame, cols: Sequence[str], keys: Sequence[str] =
 
 
 def interpolate(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), zero: bool = True) -> DataFrame:
-    """Linear interpolation by row position within the series, then 0 for leading nulls."""
-    w = series_window(keys)
-    numbered = df.withColumn("_pos", F.row_number().over(w))
+    """Linear interpolation by row position within the series, then 0 for leading nulls.
+
+    The next known value is the last one in reversed order: a frame that ends at the end of the
+    series would be evaluated anew for every row.
+    """
+    numbered = df.withColumn("_pos", F.row_number().over(series_window(keys)))
+    so_far = (Window.unboundedPreceding, 0)
+    onward = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(*so_far)
+    backward = Window.partitionBy(*keys).orderBy(F.col("_pos").desc()).rowsBetween(*so_far)
     ends = []
     for c in cols:
         known = F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("pos"), F.col(c).alias("value")))
-        ends.append(F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_prev_{c}"))
-        ends.append(F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias(f"_next_{c}"))
+        ends.append(F.last(known, True).over(onward).alias(f"_prev_{c}"))
+        ends.append(F.last(known, True).over(backward).alias(f"_next_{c}"))
     found = numbered.select("*", *ends)
     filled = {c: lerp_between(f"_prev_{c}", f"_next_{c}", F.col("_pos")) for c in cols}
     if zero:

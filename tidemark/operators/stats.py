@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import drop_nulls
 from tidemark.plans.ranking import average_rank, long_format, quantiles_of_ranked, ranked_counts
-from tidemark.plans.scalar_stats import constants
+from tidemark.plans.scalar_stats import attach_row, constants
 from tidemark.plans.scratch import written
 
 DAYS_PER_YEAR = 365.25
@@ -132,6 +134,21 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _rows(cells, df)
 
 
+def pearson_complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The same for a table without nulls, by one pass over vectors. The matrix itself has one cell
+    per pair of columns, however many rows there are."""
+    vectors = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).select("features")
+    stored = written(vectors)
+    rows = stored.count()
+    if rows < 2:
+        return pearson(df, cols)
+    matrix = Correlation.corr(stored, "features").first()[0].toArray()
+    cells = [
+        (a, b, 1.0 if i == j else float(matrix[i, j]), rows) for i, a in enumerate(cols) for j, b in enumerate(cols)
+    ]
+    return df.sparkSession.createDataFrame(cells, "var_a string, var_b string, r double, n bigint")
+
+
 def strong_pairs(matrix: DataFrame, over: float = 0.4) -> DataFrame:
     """Pairs of different columns whose correlation exceeds the limit in size."""
     return matrix.filter((F.abs("r") > over) & (F.col("var_a") != F.col("var_b")))
@@ -166,8 +183,8 @@ def with_ranks(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> Da
 
 def spearman(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> DataFrame:
     """Rank correlation over the rows in which every column holds a value."""
-    complete = drop_nulls(df.select(*row_key, *cols), cols)
-    return pearson(with_ranks(written(complete), cols, row_key), cols)
+    complete = written(drop_nulls(df.select(*row_key, *cols), cols))
+    return pearson_complete(with_ranks(complete, cols, row_key), cols)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -240,11 +257,10 @@ def with_class_weight(df: DataFrame, label: str, labels: Sequence[int], fit_on:
     """Add the balanced weight of each row's class, measured on ``fit_on``."""
     weights = class_weights(fit_on, label, labels)
     per_class = weights.agg(*[F.max(F.when(F.col("label") == k, F.col("weight"))).alias(f"w{k}") for k in labels])
-    known = constants(per_class, {f"w{k}": F.max(f"w{k}") for k in labels})
     chosen = F.lit(None).cast("double")
     for k in labels:
-        chosen = F.when(F.col(label) == k, known[f"w{k}"]).otherwise(chosen)
-    return df.withColumn("weight", chosen)
+        chosen = F.when(F.col(label) == k, F.col("_stats")[f"w{k}"]).otherwise(chosen)
+    return attach_row(df, per_class).withColumn("weight", chosen).drop("_stats")
 
 
 def distinct_values(df: DataFrame, column: Column, name: str) -> DataFrame:
@@ -254,14 +270,13 @@ def distinct_values(df: DataFrame, column: Column, name: str) -> DataFrame:
 def standardized(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Zero mean and unit population deviation; a constant column becomes 0."""
     source = df if fit_on is None else fit_on
-    stats = constants(
-        source, {**{f"m_{c}": F.avg(c) for c in cols}, **{f"s_{c}": F.stddev_pop(c) for c in cols}}
-    )
-    scaled = {}
+    moments = []
     for c in cols:
-        width = F.when(stats[f"s_{c}"] > 0, stats[f"s_{c}"]).otherwise(F.lit(1.0))
-        scaled[c] = (F.col(c) - stats[f"m_{c}"]) / width
-    return df.withColumns(scaled)
+        width = F.stddev_pop(c)
+        moments += [F.avg(c).alias(f"m_{c}"), F.when(width > 0, width).otherwise(F.lit(1.0)).alias(f"s_{c}")]
+    stats = F.col("_stats")
+    scaled = {c: (F.col(c) - stats[f"m_{c}"]) / stats[f"s_{c}"] for c in cols}
+    return attach_row(df, source.agg(*moments)).withColumns(scaled).drop("_stats")
 
 
 def simple_ols(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

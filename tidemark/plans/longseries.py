@@ -103,56 +103,55 @@ def over_chunks(
     )
 
 
-def with_neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    col: str,
-    chunk_rows: int | None = None,
-) -> DataFrame:
-    """Add ``_rn``, ``_prev`` and ``_next``: the nearest non-null (position, value) at or before, and
-    at or after, each row of the series, however far away it lies."""
-    placed = place_rows(df, keys, order)
-    size = chunk_length(placed, 1, chunk_rows)
-    chunked = number_rows(placed).withColumn("_chunk", F.floor(F.col("_rn") / size))
-    known = F.when(F.col(col).isNotNull(), F.struct(F.col("_rn").alias("pos"), F.col(col).alias("value")))
+def _carry(chunked: DataFrame, keys: Sequence[str], known: Column, name: str, reverse: bool = False) -> DataFrame:
+    """Add the nearest known struct at or before each row (at or after it, if reversed), within the
+    chunk or carried over from the chunks passed. One carried value per (chunk, series)."""
 
-    edges = chunked.groupBy("_chunk", *keys).agg(F.min(known).alias("_first"), F.max(known).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_chunk")
+    def direction(col: str) -> Column:
+        return F.col(col).desc() if reverse else F.col(col).asc()
+
+    edge = F.min(known) if reverse else F.max(known)
+    edges = chunked.groupBy("_chunk", *keys).agg(edge.alias("_edge"))
+    passed = Window.partitionBy(*keys).orderBy(direction("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         F.col("_chunk").alias("_c_chunk"),
         *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.last("_last", True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_from_before"),
-        F.first("_first", True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_from_after"),
-    )
-    inside = Window.partitionBy("_chunk", *keys).orderBy("_rn")
-    filled = chunked.select(
-        *df.columns,
-        "_rn",
-        "_chunk",
-        F.last(known, True).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_back"),
-        F.first(known, True).over(inside.rowsBetween(0, Window.unboundedFollowing)).alias("_fore"),
+        F.last("_edge", True).over(passed).alias("_carried"),
     )
+    so_far = Window.partitionBy("_chunk", *keys).orderBy(direction("_rn")).rowsBetween(Window.unboundedPreceding, 0)
     same = F.col("_chunk") == F.col("_c_chunk")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
-    return filled.join(carried, same, "left").select(
-        *df.columns,
-        "_rn",
-        F.coalesce("_back", "_from_before").alias("_prev"),
-        F.coalesce("_fore", "_from_after").alias("_next"),
+    local = chunked.withColumn("_local", F.last(known, True).over(so_far))
+    return local.join(carried, same, "left").select(
+        *chunked.columns, F.coalesce("_local", "_carried").alias(name)
     )
 
 
-def forward_fill_long(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, **kw: int) -> DataFrame:
-    """Replace nulls of ``col`` by the last earlier value of the series."""
-    found = with_neighbours(df, keys, order, col, **kw)
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None) -> DataFrame:
+    placed = place_rows(df, keys, order)
+    size = chunk_length(placed, 1, chunk_rows)
+    return number_rows(placed).withColumn("_chunk", F.floor(F.col("_rn") / size))
+
+
+def _known(col: str) -> Column:
+    return F.when(F.col(col).isNotNull(), F.struct(F.col("_rn").alias("pos"), F.col(col).alias("value")))
+
+
+def forward_fill_long(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, chunk_rows: int | None = None
+) -> DataFrame:
+    """Replace nulls of ``col`` by the last earlier value of the series, however far back it lies."""
+    found = _carry(_chunked(df, keys, order, chunk_rows), keys, _known(col), "_prev")
     return found.withColumn(col, F.col("_prev.value")).select(*df.columns)
 
 
-def interpolate_long(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, **kw: int) -> DataFrame:
+def interpolate_long(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, chunk_rows: int | None = None
+) -> DataFrame:
     """Linear interpolation by row position; leading nulls stay, trailing nulls take the last value."""
-    found = with_neighbours(df, keys, order, col, **kw)
+    found = _carry(_chunked(df, keys, order, chunk_rows), keys, _known(col), "_prev")
+    found = _carry(found, keys, _known(col), "_next", reverse=True)
     return found.withColumn(col, lerp_between("_prev", "_next", F.col("_rn"))).select(*df.columns)
 
 

@@ -13,11 +13,17 @@ from pyspark.sql import functions as F
 
 
 def one_row(stats: DataFrame) -> dict[str, Column]:
-    """The columns of a one-row table as constants."""
+    """The columns of a one-row table as constants, for a handful of uses."""
     row = stats.select(F.struct(*stats.columns).alias("row")).scalar()
     return {name: row[name] for name in stats.columns}
 
 
+def attach_row(df: DataFrame, stats: DataFrame, name: str = "_stats") -> DataFrame:
+    """Add the one-row table as a struct column. For many statistics: the subquery is planned once,
+    not once per use."""
+    return df.withColumn(name, stats.select(F.struct(*stats.columns).alias("row")).scalar())
+
+
 def constants(df: DataFrame, aggregates: Mapping[str, Column]) -> dict[str, Column]:
     """Aggregates over the whole table as constants."""
     return one_row(df.agg(*[agg.alias(name) for name, agg in aggregates.items()]))
