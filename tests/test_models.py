@@ -135,7 +135,7 @@ def test_clusters(vectors, pdf):
     distance = ((z[:, None, :] - centres[None]) ** 2).sum(2)
     labels = K.with_cluster(vectors, 4).orderBy("id").toPandas()["cluster"]
     assert (labels.to_numpy() == distance.argmin(1)).all()
-    assert model.summary.trainingCost == pytest.approx(distance.min(1).sum())
+    assert K.assignment_cost(model, vectors) == pytest.approx(distance.min(1).sum())
     profile = K.cluster_profile(K.with_cluster(vectors, 4), NAMES).toPandas()
     whole = (profile["mean_a"] * profile["n"]).sum() / profile["n"].sum()
     assert whole == pytest.approx(pdf["a"].mean())

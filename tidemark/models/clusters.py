@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.models.prepare import assemble
+from tidemark.models.prepare import assemble, scale_vectors
 from tidemark.operators.clean import drop_nulls
-from tidemark.operators.stats import standardized
 from tidemark.plans.scratch import written
 
 
 def scaled_vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows without gaps, with ``features`` standardized and the source columns untouched."""
-    known = written(drop_nulls(df, cols))
-    copies = known.withColumns({f"_z_{c}": F.col(c) for c in cols})
-    scaled = standardized(copies, [f"_z_{c}" for c in cols])
-    return assemble(scaled, [f"_z_{c}" for c in cols]).drop(*[f"_z_{c}" for c in cols])
+    known = written(assemble(drop_nulls(df, cols), cols))
+    return scale_vectors(known, known)
 
 
 def fit_clusters(vectors: DataFrame, k: int, seed: int = 42) -> KMeansModel:
@@ -39,10 +37,21 @@ def cluster_profile(labelled: DataFrame, cols: Sequence[str]) -> DataFrame:
     return labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *means)
 
 
+def assignment_cost(model: KMeansModel, vectors: DataFrame) -> float:
+    """Sum of squared distances to the final centres. The training summary of the library states the
+    cost one step earlier."""
+    centres = np.asarray(model.clusterCenters())
+    flat, width = F.lit(centres.ravel()), centres.shape[1]
+    mine = F.slice(flat, F.col("prediction") * width + 1, width)
+    squares = F.zip_with(vector_to_array("features"), mine, lambda a, b: (a - b) * (a - b))
+    distance = F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
+    return float(model.transform(vectors).agg(F.sum(distance).alias("cost")).first()["cost"])
+
+
 def elbow_costs(vectors: DataFrame, ks: Iterable[int], seed: int = 42) -> DataFrame:
     """Sum of squared distances to the nearest centre for each k. One fit per k over a written table."""
     vectors = written(vectors)
-    costs = [(int(k), float(fit_clusters(vectors, k, seed).summary.trainingCost)) for k in ks if k > 1]
+    costs = [(int(k), assignment_cost(fit_clusters(vectors, k, seed), vectors)) for k in ks if k > 1]
     rows = [(1, _single_cluster_cost(vectors)), *costs] if 1 in set(ks) else costs
     return vectors.sparkSession.createDataFrame(rows, "k bigint, cost double").orderBy("k")
 

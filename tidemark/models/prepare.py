@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import drop_nulls, fill_train_median
-from tidemark.operators.stats import standardized
 from tidemark.plans.scratch import written
 
 
@@ -34,6 +35,18 @@ def assemble(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol="features").transform(df)
 
 
+def scale_vectors(df: DataFrame, fit_on: DataFrame) -> DataFrame:
+    """Zero mean and unit population deviation, measured on ``fit_on``. The library divides by the
+    sample deviation, so a constant factor takes the vectors from one to the other."""
+    rows = fit_on.count()
+    scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True).fit(fit_on)
+    factor = math.sqrt(rows / (rows - 1)) if rows > 1 else 1.0
+    widen = ElementwiseProduct(
+        inputCol="_scaled", outputCol="features", scalingVec=Vectors.dense([factor] * len(scaler.mean))
+    )
+    return widen.transform(scaler.transform(df).drop("features")).drop("_scaled")
+
+
 def matrix(
     df: DataFrame,
     names: Sequence[str],
@@ -55,12 +68,10 @@ def matrix(
         names = [*names, *flags]
     else:
         usable = drop_nulls(usable, names)
+    table = written(assemble(usable, names))
     if scale:
-        usable = written(usable)
-        usable = standardized(usable, names, usable.filter(F.col("split").isin(*train_splits)))
-    table = assemble(usable, names)
-    already_stored = scale or missing == "median"
-    return Matrix(table if already_stored else written(table), tuple(names), label)
+        table = scale_vectors(table, table.filter(F.col("split").isin(*train_splits)))
+    return Matrix(table, tuple(names), label)
 
 
 def predict_with(model, df: DataFrame, name: str = "predicted") -> DataFrame:

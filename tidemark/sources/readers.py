@@ -23,9 +23,27 @@ WEATHER_SCHEMA = (
 )
 POLLEN_SCHEMA = "Date string, Tree double, Grass double, Weed double, Ragweed double, Total_Pollen double, Year int"
 
+# Columns of the record tables. A known schema spares a job that reads file footers.
+TABLE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
