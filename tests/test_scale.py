@@ -14,7 +14,7 @@ from tidemark.operators import splits as P
 from tidemark.operators import stats as G
 from tidemark.operators import windows as W
 from tidemark.plans import longseries as S
-from tidemark.plans.ranking import quantiles, ranked_counts
+from tidemark.plans.ranking import narrowed_quantiles, quantiles, ranked_counts
 from tidemark.plans.scratch import scratch_root
 
 
@@ -85,10 +85,39 @@ def test_hot_value_and_hot_group(spark):
     np.testing.assert_allclose(q[["m", "p"]], pdf.groupby("g")["v"].quantile([0.5, 0.95]).unstack())
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_narrowed_quantiles_are_exact(spark, by):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": np.where(rng.random(60_000) < 0.8, "hot", "cold"), "v": rng.normal(size=60_000).round(4)})
+    pdf.loc[rng.random(60_000) < 0.35, "v"] = 0.25
+    probs = {"lo": 0.0, "a": 0.25, "b": 0.2501, "m": 0.5, "p": 0.999, "hi": 1.0}
+    got = narrowed_quantiles(spark.createDataFrame(pdf).repartition(6), "v", probs, by)
+    assert got is not None
+    want = pdf.groupby("g")["v"].quantile(list(probs.values())).unstack() if by else pdf["v"].quantile(list(probs.values()))
+    table = got.toPandas()
+    table = table.set_index("g").sort_index() if by else table
+    np.testing.assert_allclose(table[list(probs)].to_numpy().ravel(), want.to_numpy().ravel(), atol=1e-12)
+
+
+def test_narrowed_quantiles_leave_most_rows_behind(spark):
+    df = spark.range(200_000).select(F.hash("id").cast("double").alias("v"))
+    sizes = []
+    import tidemark.plans.ranking as ranking
+
+    original = ranking.rank_counted
+    ranking.rank_counted = lambda counts, *a, **k: (sizes.append(counts.count()), original(counts, *a, **k))[1]
+    try:
+        assert quantiles(df, "v", {"m": 0.5, "p": 0.95}, narrow=True).count() == 1
+    finally:
+        ranking.rank_counted = original
+    assert sizes[0] < 2_000
+
+
 def test_null_group_is_kept(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
-    got = {r.g: r.m for r in quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
-    assert got == {None: 2.0, "a": 5.0}
+    for narrow in (False, True):
+        got = {r.g: r.m for r in quantiles(df, "v", {"m": 0.5}, ["g"], narrow=narrow).collect()}
+        assert got == {None: 2.0, "a": 5.0}
 
 
 def test_auc_against_all_pairs(spark):

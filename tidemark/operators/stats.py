@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import drop_nulls
-from tidemark.plans.ranking import average_rank, long_format, quantiles_of_ranked, ranked_counts
+from tidemark.plans.ranking import average_rank, join_group_stats, long_format, quantiles, ranked_counts
 from tidemark.plans.scalar_stats import attach_row, constants
 from tidemark.plans.scratch import written
 
@@ -84,8 +84,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         ],
         df,
     )
-    ranked = ranked_counts(cells, "value", ["variable"])
-    quartiles = quantiles_of_ranked(ranked, "value", QUARTILES, ["variable"])
+    quartiles = quantiles(cells, "value", QUARTILES, ["variable"])
     return moments.join(quartiles, "variable", "left")
 
 
@@ -218,26 +217,22 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, whiskers (the furthest values within 1.5 quartile ranges) and outliers per group."""
-    ranked = written(ranked_counts(df, col, by))
-    boxes = quantiles_of_ranked(ranked, col, QUARTILES, by)
+    known = df.select(*by, col).filter(F.col(col).isNotNull())
     reach = 1.5 * (F.col("q75") - F.col("q25"))
-    boxes = boxes.withColumn("_low", F.col("q25") - reach).withColumn("_high", F.col("q75") + reach)
-    fences = written(boxes.withColumnsRenamed({k: f"_b_{k}" for k in by}))
-    same = F.lit(True)
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+    boxes = quantiles(known, col, QUARTILES, by).withColumns(
+        {"_low": F.col("q25") - reach, "_high": F.col("q75") + reach}
+    )
     inside = F.col(col).between(F.col("_low"), F.col("_high"))
-    if by:
-        placed = ranked.join(fences, same)
-    else:
-        fence = constants(fences, {c: F.max(c) for c in ["q25", "q50", "q75", "_low", "_high"]})
-        placed = ranked.withColumns(fence)
-    return placed.groupBy(*by).agg(
-        F.sum("n").alias("n"),
-        *[F.max(q).alias(q) for q in QUARTILES],
-        F.min(F.when(inside, F.col(col))).alias("whisker_low"),
-        F.max(F.when(inside, F.col(col))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"),
+    return (
+        join_group_stats(known, boxes, by)
+        .groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.max(q).alias(q) for q in QUARTILES],
+            F.min(F.when(inside, F.col(col))).alias("whisker_low"),
+            F.max(F.when(inside, F.col(col))).alias("whisker_high"),
+            F.count_if(~inside).alias("n_outliers"),
+        )
     )
 
 
