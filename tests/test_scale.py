@@ -186,6 +186,17 @@ def test_scaler_and_weights(spark):
     assert total == pytest.approx(100)
 
 
+def test_written_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    import tidemark.plans.scratch as scratch
+
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(tmp_path))
+    table = scratch.written(spark.range(5))
+    assert table.count() == 5 and list(tmp_path.iterdir())
+    (tmp_path / "other").mkdir()
+    scratch.drop_written(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
+
+
 def test_cluster_needs_a_shared_folder(spark):
     class Context:
         master, applicationId = "spark://host:7077", "x"

@@ -31,7 +31,8 @@ FOREST = T.Forest(trees=20, depth=5)
 BOOST = T.Boosting(rounds=10, depth=4, step=0.1)
 SETTINGS = Settings(
     keys=("site",), test_from=2000, val_year=1999, forest=FOREST, depth_wise=BOOST,
-    leaf_wise=replace(BOOST, depth=5, subset="0.8"), classifier=FOREST,
+    leaf_wise=replace(BOOST, depth=5, subset="0.8"), log_forest=replace(FOREST, min_leaf=4, subset="all"),
+    past_boosting=BOOST, log_boosting=BOOST, mixture=BOOST, classifier=FOREST,
 )
 SCORES = ["mae", "mse", "rmse", "r2"]
 WEATHER = ["temp", "rain", "apparent", "gust", "wind", "wind_dir"]
@@ -342,7 +343,9 @@ def model_registry(spark: SparkSession, folder: str) -> DataFrame:
     """Every registered numeric forecast model on the same tables: test error per model."""
     tables = {name: written(df) for name, df in tables_of(spark, folder).items()}
     quick = replace(BOOST, rounds=5)
-    small = replace(SETTINGS, depth_wise=quick, leaf_wise=replace(quick, depth=5))
+    small = replace(
+        SETTINGS, depth_wise=quick, leaf_wise=replace(quick, depth=5), past_boosting=quick, log_boosting=quick, mixture=quick
+    )
     results = [
         MODELS[name].predict(tables, small).select("observed", "predicted", F.lit(name).alias("model"))
         for name in sorted(MODELS)

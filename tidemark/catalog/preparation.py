@@ -684,6 +684,14 @@ def jitter(spark: SparkSession, folder: str) -> Frame:
     return rain.select("*", S.jitter("log_rain", 42).alias("uniform"), S.jitter_normal("log_rain", 42).alias("normal"))
 
 
+@query("jitter_bounds", daily_sql("SELECT site, date, true AS in_range FROM weather"))
+def jitter_bounds(spark: SparkSession, folder: str) -> Frame:
+    """Uniform noise stays within its width."""
+    noisy = jitter(spark, folder)
+    added = F.col("uniform") - F.col("log_rain")
+    return noisy.select(*KEYS, ((added >= -1e-12) & (added < 0.01 + 1e-12)).alias("in_range"))
+
+
 @query(
     "interactions",
     daily_sql("SELECT site, date, round(temp * aqi, 6) AS temp_x_aqi, round(wind * o3, 6) AS wind_x_o3 FROM air_weather"),

@@ -13,7 +13,7 @@ from tidemark.operators import resample as M
 from tidemark.operators import smooth as K
 from tidemark.operators import stats as G
 from tidemark.operators import windows as W
-from tidemark.plans.ranking import quantiles
+from tidemark.plans.ranking import join_group_stats, quantiles
 from tidemark.sources import daily
 from tidemark.sources.daily import sql_gaps, with_gaps
 from tidemark.sources.readers import read_table
@@ -195,6 +195,42 @@ def quantiles_query(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quantiles(df, "l_extendedprice", PROBS, ["l_returnflag"]), 4, *PROBS)
 
 
+@query(
+    "quantiles_two_scans",
+    "SELECT l_returnflag, "
+    + ", ".join(f"round(quantile_cont(l_extendedprice, {q}), 4) AS {n}" for n, q in PROBS.items())
+    + " FROM lineitem GROUP BY 1",
+)
+def quantiles_two_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan for large tables: bracket by sketch, count, and rank only what lies in the brackets."""
+    df = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
+    return rounded(quantiles(df, "l_extendedprice", PROBS, ["l_returnflag"], narrow=True), 4, *PROBS)
+
+
+@query(
+    "quantiles_approx_error",
+    "\nUNION ALL ".join(f"SELECT l_returnflag, '{n}' AS name, true AS within_bound FROM lineitem GROUP BY 1" for n in PROBS),
+)
+def quantiles_approx_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the sketch keeps its promise: the share of rows up to each value against its quantile."""
+    accuracy = 1_000
+    df = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
+    sketch = quantiles(df, "l_extendedprice", PROBS, ["l_returnflag"], accuracy=accuracy)
+    x = F.col("l_extendedprice")
+    shares = join_group_stats(df, sketch, ["l_returnflag"]).groupBy("l_returnflag").agg(
+        *[F.struct(F.avg((x < F.col(n)).cast("double")), F.avg((x <= F.col(n)).cast("double"))).alias(n) for n in PROBS]
+    )
+    slack = 1 / accuracy
+    checks = [
+        F.struct(
+            F.lit(n).alias("name"),
+            ((F.col(n)["col1"] <= q + slack) & (F.col(n)["col2"] >= q - slack)).alias("within_bound"),
+        )
+        for n, q in PROBS.items()
+    ]
+    return shares.select("l_returnflag", F.inline(F.array(*checks)))
+
+
 @query("quantiles_approx")
 def quantiles_approx(spark: SparkSession, folder: str) -> DataFrame:
     df = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")

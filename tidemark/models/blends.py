@@ -22,7 +22,7 @@ def mean_of(models: Sequence, df: DataFrame, name: str = "predicted") -> DataFra
 
 
 def fit_two_stage(
-    train: DataFrame, target: str = "target_asinh", spike: str = "is_spike", how: T.Boosting = T.DEPTH_WISE,
+    train: DataFrame, target: str = "target_asinh", spike: str = "is_spike", how: T.Boosting = T.MIXTURE,
     classifier: T.Boosting | None = None,
 ) -> tuple:
     """A spike classifier, and one regressor each for the quiet and the spike rows.

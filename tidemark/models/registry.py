@@ -33,6 +33,10 @@ class Settings:
     forest: T.Forest = T.Forest()
     depth_wise: T.Boosting = T.DEPTH_WISE
     leaf_wise: T.Boosting = T.LEAF_WISE
+    log_forest: T.Forest = T.LOG_FOREST
+    past_boosting: T.Boosting = T.DAILY_POLLEN
+    log_boosting: T.Boosting = T.LOG_POLLEN
+    mixture: T.Boosting = T.MIXTURE
     classifier: T.Forest = T.Forest(trees=200)
 
 
@@ -135,7 +139,7 @@ def pollen_forest(tables: Tables, settings: Settings) -> DataFrame:
     columns = replace(X.POLLEN, keys=settings.keys)
     built = X.pollen_basic(pollen_source(tables, settings), columns).withColumn("log_target", F.log1p(columns.target))
     data = matrix(built, _names(built, columns, ["log_target"]), "log_target", missing="median")
-    fitted = T.fit_forest(data.train, data.label, settings.forest)
+    fitted = T.fit_forest(data.train, data.label, settings.log_forest)
     scored = predict_with(fitted, data.part("test")).withColumn("predicted", F.expm1("predicted"))
     return forecast_table(scored, settings, columns.target)
 
@@ -145,7 +149,7 @@ def pollen_boosted(tables: Tables, settings: Settings) -> DataFrame:
     columns = replace(X.POLLEN, keys=settings.keys)
     built = X.pollen_past_only(pollen_source(tables, settings), columns)
     data = matrix(built, _names(built, columns), columns.target)
-    fitted = T.fit_boosted(data.train, data.label, settings.depth_wise)
+    fitted = T.fit_boosted(data.train, data.label, settings.past_boosting)
     return forecast_table(predict_with(fitted, data.part("test")), settings, columns.target)
 
 
@@ -161,7 +165,7 @@ def pollen_log_boosted(tables: Tables, settings: Settings) -> DataFrame:
     columns = replace(X.POLLEN, keys=settings.keys)
     built = X.pollen_log(pollen_source(tables, settings), columns)
     data = matrix(built, _names(built, columns), "log_total")
-    kept, fitted = selected_fit(data.train, data.label, settings.leaf_wise, "weight")
+    kept, fitted = selected_fit(data.train, data.label, settings.log_boosting, "weight")
     scored = predict_with(fitted, T.keep_features(data.part("test"), kept))
     return forecast_table(scored.withColumn("predicted", F.expm1("predicted")), settings, columns.target)
 
@@ -193,5 +197,5 @@ def pollen_two_stage(tables: Tables, settings: Settings) -> DataFrame:
     built = X.with_z_spike(X.pollen_two_stage(pollen_source(tables, settings), columns), columns)
     names = _names(built, columns, ["is_spike", "ratio_1d_7d"])
     data = matrix(built, names, "target_asinh", missing="median")
-    models = fit_two_stage(data.train, how=settings.depth_wise)
+    models = fit_two_stage(data.train, how=settings.mixture)
     return forecast_table(two_stage_predict(models, data.part("test")), settings, columns.target)

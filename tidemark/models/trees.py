@@ -44,6 +44,8 @@ DEPTH_WISE = Boosting(rounds=800, depth=4, step=0.03, rows=0.8, subset="0.7")
 LEAF_WISE = Boosting(rounds=900, depth=5, step=0.01, rows=0.8, subset="0.8")
 DAILY_POLLEN = Boosting(rounds=1200, depth=6, step=0.05, rows=0.8, subset="0.8")
 LOG_POLLEN = Boosting(rounds=1000, depth=5, step=0.05, rows=1.0, subset="all")
+MIXTURE = Boosting(rounds=3000, depth=6, step=0.03, rows=0.8, subset="0.8", min_leaf=40)
+SPIKE_CLASSIFIER = Boosting(rounds=5000, depth=5, step=0.05, rows=0.8, subset="0.8", min_leaf=20)
 LOG_FOREST = Forest(trees=200, depth=30, min_leaf=4, subset="all")
 
 
@@ -72,7 +74,7 @@ def with_validation_flag(df: DataFrame, name: str = "is_validation", split: str
     return df.withColumn(name, F.col("split") == split)
 
 
-def fit_spike_classifier(train: DataFrame, label: str = "is_spike", how: Boosting = DEPTH_WISE):
+def fit_spike_classifier(train: DataFrame, label: str = "is_spike", how: Boosting = SPIKE_CLASSIFIER):
     booster = GBTClassifier(
         labelCol=label, maxIter=how.rounds, maxDepth=how.depth, stepSize=how.step, subsamplingRate=how.rows,
         featureSubsetStrategy=how.subset, minInstancesPerNode=how.min_leaf, seed=how.seed,

@@ -29,9 +29,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Call it when no table derived from them is
+    needed any more; nothing calls it on its own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet into the shared folder and return the table that was written."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
