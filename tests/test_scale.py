@@ -5,6 +5,8 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import nan_to_null
@@ -209,3 +211,22 @@ def test_cluster_needs_a_shared_folder(spark):
         scratch_root(Session())
     Session.conf.get = staticmethod(lambda key, default: "hdfs://shared/scratch/")
     assert scratch_root(Session()) == "hdfs://shared/scratch"
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    lengths=st.lists(st.integers(1, 40), min_size=1, max_size=4),
+    chunk=st.integers(5, 60),
+    lag=st.integers(1, 12),
+    holes=st.integers(2, 9),
+)
+def test_any_cut_gives_the_plain_result(spark, lengths, chunk, lag, holes):
+    """Series of any length, cut anywhere: lag and forward fill as pandas has them."""
+    rows = [(s, i, None if (s + i) % holes == 0 else float(i * 7 % 11)) for s, n in enumerate(lengths) for i in range(n)]
+    df = spark.createDataFrame(rows, "s int, i int, x double")
+    pdf = pd.DataFrame(rows, columns=["s", "i", "x"]).astype({"x": float})
+    lagged = S.over_chunks(df, ["s"], ["i"], lambda w: [W.lag("x", lag, w).alias("l")], back=lag, chunk_rows=chunk)
+    got = lagged.orderBy("s", "i").toPandas()["l"].astype(float)
+    np.testing.assert_allclose(got, pdf.groupby("s")["x"].shift(lag))
+    filled = S.forward_fill_long(df, ["s"], ["i"], "x", chunk_rows=chunk).orderBy("s", "i").toPandas()["x"].astype(float)
+    np.testing.assert_allclose(filled, pdf.groupby("s")["x"].ffill())

@@ -70,6 +70,11 @@ def chunk_length(placed: DataFrame, reach: int, chunk_rows: int | None) -> int:
     return max(chunk_rows, reach, 1)
 
 
+def _whole(size: int) -> Column:
+    """The chunk of a row, by whole-number division."""
+    return F.expr(f"_rn div {int(size)}")
+
+
 def over_chunks(
     df: DataFrame,
     keys: Sequence[str],
@@ -83,7 +88,7 @@ def over_chunks(
     ``ahead`` rows past the current row."""
     placed = place_rows(df, keys, order)
     size = chunk_length(placed, max(back, ahead), chunk_rows)
-    home = F.floor(F.col("_rn") / size)
+    home = _whole(size)
     spot = F.col("_rn") % size
     targets = F.array(
         home,
@@ -131,7 +136,7 @@ def _carry(chunked: DataFrame, keys: Sequence[str], known: Column, name: str, re
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None) -> DataFrame:
     placed = place_rows(df, keys, order)
     size = chunk_length(placed, 1, chunk_rows)
-    return number_rows(placed).withColumn("_chunk", F.floor(F.col("_rn") / size))
+    return number_rows(placed).withColumn("_chunk", _whole(size))
 
 
 def _known(col: str) -> Column:
