@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators import clean as C
 from tidemark.operators import joins as J
+from tidemark.operators import labels as L
 from tidemark.operators import resample as M
 from tidemark.operators import splits as P
 from tidemark.operators import stats as G
@@ -147,6 +148,55 @@ def test_describe_and_spearman(spark, panel):
     np.testing.assert_allclose(pairwise.loc[list("xyz"), list("xyz")].to_numpy(), pdf[["x", "y", "z"]].corr().to_numpy(), atol=1e-12)
 
 
+@pytest.mark.parametrize("n_train", [0, 3, 8])
+def test_spike_threshold_fallbacks(spark, n_train):
+    x = [3.0, 9.0, 4.0, 20.0, 1.0, 7.0, 30.0, 2.0, 5.0, 6.0]
+    pdf = pd.DataFrame({"site": 1, "date": days(10), "x": x})
+    split = F.when(F.dayofyear("date") <= n_train, "train").otherwise("test")
+    df = to_spark(spark, pdf).withColumn("split", split)
+    got = df.select(L.mean_std_threshold("x", ["site"]).alias("t")).first().t
+    train = pd.Series(x[:n_train])
+    if n_train >= 5:
+        want = train.mean() + train.std()
+    elif n_train:
+        want = train.median() + train.std()
+    else:
+        want = pd.Series(x).median()
+    assert got == pytest.approx(want)
+
+
+def test_labels_use_train_rows_only(spark):
+    """Changing test rows changes no threshold, score or cap of the train rows."""
+    base = [float((i * 13) % 17) for i in range(40)]
+    results = []
+    for factor in (1.0, 50.0):
+        x = base[:30] + [v * factor for v in base[30:]]
+        df = to_spark(spark, pd.DataFrame({"site": 1, "date": days(40), "x": x}))
+        df = df.withColumn("split", F.when(F.dayofyear("date") <= 30, "train").otherwise("test"))
+        keys = ["site"]
+        picked = df.select(
+            "date",
+            L.train_quantile("x", 0.95, keys).alias("q"),
+            L.z_score("x", keys).alias("z"),
+            L.winsorized("x", keys).alias("w"),
+            L.mean_std_threshold("x", keys).alias("t"),
+        )
+        results.append([tuple(r) for r in picked.orderBy("date").limit(30).collect()])
+    assert results[0] == results[1]
+
+
+def test_row_lags_and_day_lags_differ_over_a_season_gap(spark):
+    dates = [d.date() for d in pd.date_range("2019-01-01", "2021-12-31") if 3 <= d.month <= 10]
+    pdf = pd.DataFrame({"site": 1, "date": dates, "x": np.arange(len(dates), dtype=float)})
+    df = to_spark(spark, pdf)
+    w = W.series_window(["site"])
+    first_march = dt.date(2020, 3, 1)
+    by_row = df.select("date", W.lag("x", 1, w).alias("l")).filter(F.col("date") == F.lit(first_march)).first().l
+    full = W.on_calendar(df, ["site"])
+    by_day = full.select("date", W.lag("x", 1, w).alias("l")).filter(F.col("date") == F.lit(first_march)).first().l
+    assert by_row == dates.index(dt.date(2019, 10, 31)) and by_day is None
+
+
 def test_right_closed_bins(spark):
     values = [0.0, 0.5, 1.0, 5.0, 100.0, 101.0, None]
     df = spark.createDataFrame([(v,) for v in values], "x double")

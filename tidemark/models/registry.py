@@ -13,10 +13,12 @@ from tidemark.functions.scalars import POLLEN_LEVEL_LIMITS, pollen_level
 from tidemark.models import trees as T
 from tidemark.models.blends import fit_two_stage, mean_of, two_stage_predict
 from tidemark.models.prepare import Matrix, matrix, predict_with
+from tidemark.operators.clean import varying_columns
 from tidemark.operators.joins import join_all
 from tidemark.operators.splits import split_by_year, split_relative
 from tidemark.operators.stats import with_class_weight
 from tidemark.plans import features as X
+from tidemark.plans.scratch import written
 
 Tables = Mapping[str, DataFrame]
 
@@ -194,8 +196,9 @@ def pollen_levels(tables: Tables, settings: Settings) -> DataFrame:
 @model("pollen_two_stage", "Spike classifier mixing a quiet and a spike regressor")
 def pollen_two_stage(tables: Tables, settings: Settings) -> DataFrame:
     columns = replace(X.POLLEN, keys=settings.keys)
-    built = X.with_z_spike(X.pollen_two_stage(pollen_source(tables, settings), columns), columns)
-    names = _names(built, columns, ["is_spike", "ratio_1d_7d"])
+    built = written(X.with_z_spike(X.pollen_two_stage(pollen_source(tables, settings), columns), columns))
+    candidates = _names(built, columns, ["is_spike", "ratio_1d_7d"])
+    names = varying_columns(built.filter(F.col("split") == "train"), candidates)
     data = matrix(built, names, "target_asinh", missing="median")
     models = fit_two_stage(data.train, how=settings.mixture)
     return forecast_table(two_stage_predict(models, data.part("test")), settings, columns.target)
