@@ -9,8 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,21 +143,6 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return named.select(F.inline(F.array_compact(both_ways)))
 
 
-def pearson_complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The same for a table without nulls, by one pass over vectors. The matrix itself has one cell
-    per pair of columns, however many rows there are."""
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).select("features")
-    stored = written(vectors)
-    rows = stored.count()
-    if rows < 2:
-        return pearson(df, cols)
-    matrix = Correlation.corr(stored, "features").first()[0].toArray()
-    cells = [
-        (a, b, 1.0 if i == j else float(matrix[i, j]), rows) for i, a in enumerate(cols) for j, b in enumerate(cols)
-    ]
-    return df.sparkSession.createDataFrame(cells, "var_a string, var_b string, r double, n bigint")
-
-
 def strong_pairs(matrix: DataFrame, over: float = 0.4) -> DataFrame:
     """Pairs of different columns whose correlation exceeds the limit in size."""
     return matrix.filter((F.abs("r") > over) & (F.col("var_a") != F.col("var_b")))
@@ -195,7 +178,7 @@ def with_ranks(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> Da
 def spearman(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> DataFrame:
     """Rank correlation over the rows in which every column holds a value."""
     complete = written(drop_nulls(df.select(*row_key, *cols), cols))
-    return pearson_complete(with_ranks(complete, cols, row_key), cols)
+    return pearson(with_ranks(complete, cols, row_key), cols)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
