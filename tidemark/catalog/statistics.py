@@ -212,19 +212,24 @@ def quantiles_two_scans(spark: SparkSession, folder: str) -> DataFrame:
     "\nUNION ALL ".join(f"SELECT l_returnflag, '{n}' AS name, true AS within_bound FROM lineitem GROUP BY 1" for n in PROBS),
 )
 def quantiles_approx_error(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether the sketch keeps its promise: the share of rows up to each value against its quantile."""
+    """Whether the sketch keeps its promise: the rank of each value lies between (q - e) x rows, rounded
+    down, and (q + e) x rows, rounded up, with e = 1 / accuracy."""
     accuracy = 1_000
     df = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
     sketch = quantiles(df, "l_extendedprice", PROBS, ["l_returnflag"], accuracy=accuracy)
     x = F.col("l_extendedprice")
     shares = join_group_stats(df, sketch, ["l_returnflag"]).groupBy("l_returnflag").agg(
-        *[F.struct(F.avg((x < F.col(n)).cast("double")), F.avg((x <= F.col(n)).cast("double"))).alias(n) for n in PROBS]
+        F.count(x).alias("rows"),
+        *[F.struct(F.count_if(x < F.col(n)).alias("below"), F.count_if(x <= F.col(n)).alias("upto")).alias(n) for n in PROBS],
     )
     slack = 1 / accuracy
     checks = [
         F.struct(
             F.lit(n).alias("name"),
-            ((F.col(n)["col1"] <= q + slack) & (F.col(n)["col2"] >= q - slack)).alias("within_bound"),
+            (
+                (F.col(n)["below"] <= F.ceil(F.col("rows") * (q + slack)))
+                & (F.col(n)["upto"] >= F.floor(F.col("rows") * (q - slack)))
+            ).alias("within_bound"),
         )
         for n, q in PROBS.items()
     ]

@@ -116,7 +116,8 @@ def quantiles(
 
     Exact by default: a large table is narrowed down first (``narrowed_quantiles``), a small one is
     ranked as a whole; ``narrow`` forces the choice. With ``accuracy`` the sketch of
-    ``percentile_approx`` is used alone: one scan, and a rank error of at most rows / accuracy.
+    ``percentile_approx`` is used alone: one scan, and a rank error of at most rows / accuracy, up to whole
+    ranks.
     """
     if accuracy is not None:
         sketch = F.percentile_approx(value, list(probs.values()), accuracy).alias("_sketch")
