@@ -6,11 +6,15 @@
    least ``o`` retained values (exact for sets that fit the sketch; else ``o`` is so low that a pair
    misses it with a chance below 1e-7). So they share one of the ``k - o + 1`` rarest values of each,
    and only those are kept: values of common passages drop out, as do classes without enough company.
-3. A list of up to ``SHORT`` classes gives all its pairs. A longer list is worked off by pivots: its
+3. The classes that are left get the lists of their full sets in the same way, with the exact overlap.
+   In a large group of loose copies most members then are in short lists of rare values only, so the
+   group does not cost a comparison of all with all.
+4. A list of up to ``SHORT`` classes gives all its pairs. A longer list is worked off by pivots: its
    most central class (the one whose values are the most frequent) meets all others, then leaves. A
-   list whose rest lies in one component by then is done, otherwise more pivots follow. So copies of
-   one text give a star, no pair that could change a component is left out, and none is capped.
-4. The union sketch estimates the similarity of a pair and drops the clearly different ones. The rest
+   list whose rest lies in one component by then is done, otherwise classes outside its largest
+   component follow as pivots. So copies of one text give a star, no pair that could change a
+   component is left out, and none is capped.
+5. The union sketch estimates the similarity of a pair and drops the clearly different ones. The rest
    is decided on the full shingle sets.
 """
 
@@ -108,55 +112,80 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, o:
     return pairs.filter(_linked(F.size(F.array_intersect("sa", "sb")), "na", "nb", percent)).select("a", "b")
 
 
-def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, k: int, percent: int) -> DataFrame:
-    o = least_overlap(k, percent)
-    exact = F.floor((percent * F.col("n") + 99) / 100)
-    posts = classes.select("node", F.when(F.col("n") * 100 <= k * percent, exact).otherwise(o).alias("o"), F.explode("sketch").alias("v"))
+def _lists(posts: DataFrame) -> DataFrame:
+    """Inverted lists (v, node, n, rare, central, length, pivot) with two classes or more. ``posts`` has
+    the values v of each node, their number n and the overlap o that a linked pair has; so a node needs
+    only its ``values - o + 1`` rarest ones, and values of its own count among these. ``rare`` is the
+    number of its values that at most SHORT nodes have."""
     often = posts.groupBy("v").agg(F.count("*").alias("often")).filter("often > 1")
     mine = Window.partitionBy("node")
-    lists = (
-        posts.join(often, "v")
-        .withColumns({"nth": F.row_number().over(mine.orderBy("often", "v")), "company": F.count("*").over(mine), "central": F.sum("often").over(mine)})
-        .filter("nth <= company - o + 1")
-        .select("v", "node", "central")
+    lists = posts.join(often, "v").withColumns(
+        {
+            "nth": F.row_number().over(mine.orderBy("often", "v")),
+            "company": F.count("*").over(mine),
+            "central": F.sum("often").over(mine),
+            "rare": F.col("n") - F.count_if(F.col("often") > SHORT).over(mine),
+        }
     )
-    lists = written(lists)
-    length = lists.groupBy("v").agg(F.count("*").alias("length"), F.max(F.struct("central", "node")).alias("top")).filter("length > 1")
-    lists = written(lists.join(length, "v").select("v", "node", "central", "length", F.col("top.node").alias("pivot")))
+    lists = written(lists.filter("nth <= company - o + 1").select("v", "node", "n", "rare", "central"))
+    top = F.max(F.struct("central", "node", "n", "rare")).alias("pivot")
+    length = lists.groupBy("v").agg(F.count("*").alias("length"), top).filter("length > 1")
+    return written(lists.join(length, "v"))
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two nodes that meet in a long list can be linked. All rare values of such nodes are in
+    short lists, whose pairs have been tested; so the pair shares none of them, and at best all others."""
+    common = F.least(F.col(f"{a}.n") - F.col(f"{a}.rare"), F.col(f"{b}.n") - F.col(f"{b}.rare"))
+    return 100 * common >= percent * (common + F.col(f"{a}.rare") + F.col(f"{b}.rare"))
+
+
+def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, k: int, percent: int) -> DataFrame:
+    o = least_overlap(k, percent)
+    exact = F.floor((percent * F.col("n") + 99) / 100)
+    least = F.when(F.col("n") * 100 <= k * percent, exact).otherwise(o).alias("o")
+    wanted = written(_lists(classes.select("node", "n", least, F.explode("sketch").alias("v"))).select("node").distinct())
 
-    wanted = lists.select("node").distinct()
     ids = classes.join(wanted, "node", "left_semi").select("doc_id")
     texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = _possible(texts, ids).alias("t").join(ids.alias("i"), F.col("t.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
-    sets = _sketches(texts, "doc_id", "text", width, k, whole=True).select("node", "sketch")
+    sets = _sketches(texts, "doc_id", "text", width, k, whole=True).select("node", "n", "sketch")
     sets = written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    lists = _lists(sets.select("node", "n", exact.alias("o"), F.explode("sketch").alias("v")))
+    sets = written(sets.join(lists.select("node").distinct(), "node", "left_semi"))
 
     short = lists.filter(F.col("length") <= SHORT).select("v", "node")
     pairs = short.select("v", F.col("node").alias("a")).join(short.select("v", F.col("node").alias("b")), "v").filter("a < b").select("a", "b")
-    long = lists.filter(F.col("length") > SHORT)
-    stars = long.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    long = lists.filter(F.col("length") > SHORT).withColumn("me", F.struct("node", "n", "rare"))
+    pair = [F.least("me.node", "pivot.node").alias("a"), F.greatest("me.node", "pivot.node").alias("b")]
+    stars = long.filter((F.col("node") != F.col("pivot.node")) & _may_link("me", "pivot", percent)).select(pair)
     edges = written(_confirmed(pairs.unionByName(stars).distinct(), classes, sets, k, o, percent))
 
-    rest, pivots = long.filter("node <> pivot").select("v", "node", "central"), 8
+    rest, pivots, full = long.filter(F.col("node") != F.col("pivot.node")).select("v", "node", "me", "central"), 64, False
     while True:
         roots = components(edges)
-        rest = rest.join(roots, "node", "left").select("v", "node", "central", F.coalesce("root", "node").alias("root"))
-        split = rest.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("v")
-        rest = written(rest.join(split, "v", "left_semi"))
+        rest = rest.drop("root", "main").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        sizes = rest.groupBy("v", "root").agg(F.count("*").alias("size")).groupBy("v")
+        main = sizes.agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("v", "main")
+        rest = written(rest.join(main, "v"))
         if rest.isEmpty():
             return edges
-        by_list = Window.partitionBy("v").orderBy(F.desc("central"), "node")
-        top = rest.withColumn("nth", F.row_number().over(by_list)).filter(F.col("nth") <= pivots).select("v", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-        top = written(top)
-        pairs = (
-            rest.join(top, "v")
-            .filter("root <> pivot_root")
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-            .distinct()
+        if not full:  # few rows are left: they carry their sets and lists from here on
+            places = rest.groupBy("node").agg(F.collect_set("v").alias("places"))
+            rest = written(rest.join(places, "node").join(sets.select("node", F.col("sketch").alias("set")), "node"))
+            full = True
+        by_list = Window.partitionBy("v").orderBy(F.col("root") == F.col("main"), F.desc("central"), "node")
+        nth = rest.select("v", "node", "root", "main", "central").withColumn("nth", F.row_number().over(by_list))
+        used = written(nth.filter(F.col("nth") <= pivots).select("v", "node"))
+        top = rest.join(used, ["v", "node"], "left_semi").select(
+            F.col("v").alias("w"), F.col("me").alias("pivot"), F.col("root").alias("pivot_root"), F.col("places").alias("pivot_places"), F.col("set").alias("pivot_set")
         )
-        edges = written(edges.unionByName(_confirmed(pairs, classes, sets, k, o, percent)))
-        rest = rest.join(top, (rest.v == top.v) & (rest.node == top.pivot), "left_anti").select("v", "node", "central")
-        pivots *= 8
+        meet = (F.col("v") == F.col("w")) & (F.col("root") != F.col("pivot_root")) & _may_link("me", "pivot", percent)
+        once = F.col("v") == F.array_min(F.array_intersect("places", "pivot_places"))  # of all lists they share
+        linked = _linked(F.size(F.array_intersect("set", "pivot_set")), "me.n", "pivot.n", percent)
+        edges = written(edges.unionByName(rest.join(top, meet & once & linked).select(pair).distinct()))
+        rest = rest.join(used, ["v", "node"], "left_anti")
+        pivots *= 16
 
 
 def near_duplicates(
