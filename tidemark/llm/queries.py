@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid, minhash
+from tidemark.llm import langid, minhash, mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents")).select("doc_id", "slot", "shard")
+
+
+SQL["op1_sharding"] = sharding.ORACLE
+
+
+@query
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.by_document(mixing.mix(table(spark, folder, "documents")))
+
+
+SQL["op2_mixing"] = mixing.ORACLE
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 @query
 def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
