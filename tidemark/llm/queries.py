@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import langid, minhash, mixing, packing, sharding, toxicity
+from tidemark.llm import embed_dedup, langid, minhash, mixing, packing, sharding, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,6 +53,19 @@ def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
 
 
+@query
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op8_topk"] = topk.ORACLE
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
