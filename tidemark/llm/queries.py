@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embed_dedup, langid, minhash, mixing, packing, sharding, topk, toxicity
+from tidemark.llm import chat, embed_dedup, langid, licenses, minhash, mixing, packing, sharding, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op2_mixing"] = mixing.ORACLE
 
 
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
@@ -48,6 +53,14 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.render(table(spark, folder, "conversations"))
+
+
+SQL["op6_chat_format"] = chat.ORACLE
+
+
 @query
 def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
