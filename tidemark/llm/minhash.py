@@ -6,14 +6,14 @@
    least ``o`` retained values (exact for sets that fit the sketch; else ``o`` is so low that a pair
    misses it with a chance below 1e-7). So they share one of the ``k - o + 1`` rarest values of each,
    and only those are kept: values of common passages drop out, as do classes without enough company.
-3. The classes that are left get the lists of their full sets in the same way, with the exact overlap.
-   In a large group of loose copies most members then are in short lists of rare values only, so the
-   group does not cost a comparison of all with all.
-4. A list of up to ``SHORT`` classes gives all its pairs. A longer list is worked off by pivots: its
-   most central class (the one whose values are the most frequent) meets all others, then leaves. A
-   list whose rest lies in one component by then is done, otherwise classes outside its largest
-   component follow as pivots. So copies of one text give a star, no pair that could change a
-   component is left out, and none is capped.
+3. A list of up to ``SHORT`` classes gives all its pairs. Classes that are in a longer list get the lists
+   of their full sets in the same way, with the exact overlap. In a large group of loose copies most
+   members then are in short lists of rare values only, so the group does not cost a comparison of all
+   with all.
+4. A list that is still long is worked off by pivots: its most central class (the one whose values are
+   the most frequent) meets all others, then leaves. A list whose rest lies in one component by then is
+   done, otherwise classes outside its largest component follow as pivots. So copies of one text give a
+   star, no pair that could change a component is left out, and none is capped.
 5. The union sketch estimates the similarity of a pair and drops the clearly different ones. The rest
    is decided on the full shingle sets.
 """
@@ -98,25 +98,31 @@ def _linked(shared: Column, a: str, b: str, percent: int) -> Column:
     return 100 * shared >= percent * (F.col(a) + F.col(b) - shared)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, o: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked: first by the union sketch, then on the full sets."""
+def _likely(pairs: DataFrame, classes: DataFrame, k: int, o: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches leave a link possible, with their sizes."""
     for side in "ab":
         pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
     pairs = pairs.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     small = F.greatest("na", "nb") <= k  # the sketches are the sets
-    pairs = written(pairs.filter(F.when(small, _linked(F.size(F.array_intersect("sa", "sb")), "na", "nb", percent)).otherwise(both >= o)).select("a", "b", "na", "nb"))
+    likely = F.when(small, _linked(F.size(F.array_intersect("sa", "sb")), "na", "nb", percent)).otherwise(both >= o)
+    return written(pairs.filter(likely).select("a", "b", "na", "nb"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked, decided on the full sets."""
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("sketch").alias(f"s{side}")), side)
     return pairs.filter(_linked(F.size(F.array_intersect("sa", "sb")), "na", "nb", percent)).select("a", "b")
 
 
-def _lists(posts: DataFrame) -> DataFrame:
-    """Inverted lists (v, node, n, rare, central, length, pivot) with two classes or more. ``posts`` has
-    the values v of each node, their number n and the overlap o that a linked pair has; so a node needs
-    only its ``values - o + 1`` rarest ones, and values of its own count among these. ``rare`` is the
-    number of its values that at most SHORT nodes have."""
+def _lists(sets: DataFrame, overlap: Column) -> DataFrame:
+    """Inverted lists (v, node, n, rare, central, length, pivot) of ``sets`` (node, n, sketch) with two
+    nodes or more. ``overlap`` is the number of values that a linked pair shares at least; so a node needs
+    only its ``values - overlap + 1`` rarest ones, and values of its own count among these. ``rare`` is
+    the number of its values that at most SHORT nodes have."""
+    posts = sets.select("node", F.explode("sketch").alias("v"))
     often = posts.groupBy("v").agg(F.count("*").alias("often")).filter("often > 1")
     mine = Window.partitionBy("node")
     lists = posts.join(often, "v").withColumns(
@@ -124,15 +130,21 @@ def _lists(posts: DataFrame) -> DataFrame:
             "nth": F.row_number().over(mine.orderBy("often", "v")),
             "company": F.count("*").over(mine),
             "central": F.sum("often").over(mine),
-            "rare": F.col("n") - F.count_if(F.col("often") > SHORT).over(mine),
+            "frequent": F.count_if(F.col("often") > SHORT).over(mine),
         }
     )
-    lists = written(lists.filter("nth <= company - o + 1").select("v", "node", "n", "rare", "central"))
+    lists = lists.join(sets.select("node", "n", overlap.alias("o")), "node").filter("nth <= company - o + 1")
+    lists = written(lists.select("v", "node", "n", (F.col("n") - F.col("frequent")).alias("rare"), "central"))
     top = F.max(F.struct("central", "node", "n", "rare")).alias("pivot")
     length = lists.groupBy("v").agg(F.count("*").alias("length"), top).filter("length > 1")
     return written(lists.join(length, "v"))
 
 
+def _short_pairs(lists: DataFrame) -> DataFrame:
+    short = lists.filter(F.col("length") <= SHORT).select("v", "node")
+    return short.select("v", F.col("node").alias("a")).join(short.select("v", F.col("node").alias("b")), "v").filter("a < b").select("a", "b").distinct()
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether two nodes that meet in a long list can be linked. All rare values of such nodes are in
     short lists, whose pairs have been tested; so the pair shares none of them, and at best all others."""
@@ -143,23 +155,24 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, k: int, percent: int) -> DataFrame:
     o = least_overlap(k, percent)
     exact = F.floor((percent * F.col("n") + 99) / 100)
-    least = F.when(F.col("n") * 100 <= k * percent, exact).otherwise(o).alias("o")
-    wanted = written(_lists(classes.select("node", "n", least, F.explode("sketch").alias("v"))).select("node").distinct())
+    lists = _lists(classes, F.when(F.col("n") * 100 <= k * percent, exact).otherwise(o))
+    pairs = _likely(_short_pairs(lists), classes, k, o, percent)
+    dense = written(lists.filter(F.col("length") > SHORT).select("node").distinct())
+    wanted = written(dense.unionByName(pairs.select(F.col("a").alias("node"))).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
 
     ids = classes.join(wanted, "node", "left_semi").select("doc_id")
     texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = _possible(texts, ids).alias("t").join(ids.alias("i"), F.col("t.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
     sets = _sketches(texts, "doc_id", "text", width, k, whole=True).select("node", "n", "sketch")
     sets = written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    lists = _lists(sets.select("node", "n", exact.alias("o"), F.explode("sketch").alias("v")))
-    sets = written(sets.join(lists.select("node").distinct(), "node", "left_semi"))
 
-    short = lists.filter(F.col("length") <= SHORT).select("v", "node")
-    pairs = short.select("v", F.col("node").alias("a")).join(short.select("v", F.col("node").alias("b")), "v").filter("a < b").select("a", "b")
+    lists = _lists(sets.join(dense, "node", "left_semi"), exact)
     long = lists.filter(F.col("length") > SHORT).withColumn("me", F.struct("node", "n", "rare"))
     pair = [F.least("me.node", "pivot.node").alias("a"), F.greatest("me.node", "pivot.node").alias("b")]
     stars = long.filter((F.col("node") != F.col("pivot.node")) & _may_link("me", "pivot", percent)).select(pair)
-    edges = written(_confirmed(pairs.unionByName(stars).distinct(), classes, sets, k, o, percent))
+    more = _short_pairs(lists).unionByName(stars).distinct().join(pairs, ["a", "b"], "left_anti")
+    pairs = pairs.unionByName(_likely(more, classes, k, o, percent))
+    edges = written(_confirmed(pairs, sets, percent))
 
     rest, pivots, full = long.filter(F.col("node") != F.col("pivot.node")).select("v", "node", "me", "central"), 64, False
     while True:
