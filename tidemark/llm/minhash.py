@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from tidemark.llm.flat import mix, shingle_sets
 from tidemark.plans.scratch import written
 
 SHORT = 16
+HOME = 64
 MISS = 1e-7
 BITS = 25  # of the fixed-size bitmap that spares most texts the shuffle to the exact check
 
@@ -99,7 +101,7 @@ def _linked(shared: Column, a: str, b: str, percent: int) -> Column:
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, k: int, o: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sketches leave a link possible, with their sizes."""
+    """The pairs (a, b) whose sketches leave a link possible."""
     for side in "ab":
         pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
     pairs = pairs.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
@@ -107,14 +109,40 @@ def _likely(pairs: DataFrame, classes: DataFrame, k: int, o: int, percent: int)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     small = F.greatest("na", "nb") <= k  # the sketches are the sets
     likely = F.when(small, _linked(F.size(F.array_intersect("sa", "sb")), "na", "nb", percent)).otherwise(both >= o)
-    return written(pairs.filter(likely).select("a", "b", "na", "nb"))
+    return written(pairs.filter(likely).select("a", "b"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, decided on the full sets."""
+    """The pairs (a, b) that are linked, decided on the full sets.
+
+    The pairs of a component of candidates are decided together, so a set travels once for all of them;
+    a component of more than HOME nodes is cut into tiles of that many by that many.
+    """
+    roots = components(pairs.select("a", "b"))
+    tiles = roots.groupBy("root").agg(F.ceil(F.count("*") / HOME).alias("tiles"))
+    roots = written(roots.join(tiles, "root").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles"))).drop("tiles"))
     for side in "ab":
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("sketch").alias(f"s{side}")), side)
-    return pairs.filter(_linked(F.size(F.array_intersect("sa", "sb")), "na", "nb", percent)).select("a", "b")
+        pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("tile").alias(f"t{side}"), "root"), ["root", side] if side == "b" else side)
+    pairs = written(pairs.select("root", "ta", "tb", "a", "b"))
+    ends = [pairs.select("root", "ta", "tb", F.col(side).alias("node")) for side in "ab"]
+    members = ends[0].unionByName(ends[1]).distinct().join(sets.select("node", "sketch"), "node")
+    members = members.withColumns({"b": F.lit(0).cast("bigint"), "asks": F.lit(False)})  # no nulls: ids stay whole numbers
+    asking = pairs.withColumnRenamed("a", "node").withColumns({"sketch": F.array().cast("array<bigint>"), "asks": F.lit(True)})
+    rows = members.unionByName(asking)
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        held, asked = pdf[~pdf["asks"]], pdf[pdf["asks"]]
+        known = dict(zip(held["node"], held["sketch"]))
+        out = []
+        for a, b in zip(asked["node"], asked["b"]):
+            x, y = known[a], known[b]
+            if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("root", "ta", "tb").applyInPandas(decide, "a bigint, b bigint")
 
 
 def _lists(sets: DataFrame, overlap: Column) -> DataFrame:
