@@ -35,6 +35,7 @@ from tidemark.plans.scratch import written
 
 SHORT = 16
 HOME = 64
+WIDE = 192  # values of the sketch that is compared when many pairs of a long list meet
 MISS = 1e-7
 BITS = 25  # of the fixed-size bitmap that spares most texts the shuffle to the exact check
 
@@ -211,9 +212,10 @@ def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width:
         rest = written(rest.join(main, "v"))
         if rest.isEmpty():
             return edges
-        if not full:  # few rows are left: they carry their sets and lists from here on
+        if not full:  # few rows are left: they carry their lists and a wider sketch from here on
             places = rest.groupBy("node").agg(F.collect_set("v").alias("places"))
-            rest = written(rest.join(places, "node").join(sets.select("node", F.col("sketch").alias("set")), "node"))
+            wide = sets.select("node", F.slice("sketch", 1, WIDE).alias("set"))
+            rest = written(rest.join(places, "node").join(wide, "node"))
             full = True
         by_list = Window.partitionBy("v").orderBy(F.col("root") == F.col("main"), F.desc("central"), "node")
         nth = rest.select("v", "node", "root", "main", "central").withColumn("nth", F.row_number().over(by_list))
@@ -223,8 +225,12 @@ def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width:
         )
         meet = (F.col("v") == F.col("w")) & (F.col("root") != F.col("pivot_root")) & _may_link("me", "pivot", percent)
         once = F.col("v") == F.array_min(F.array_intersect("places", "pivot_places"))  # of all lists they share
-        linked = _linked(F.size(F.array_intersect("set", "pivot_set")), "me.n", "pivot.n", percent)
-        edges = written(edges.unionByName(rest.join(top, meet & once & linked).select(pair).distinct()))
+        shared = F.size(F.array_intersect("set", "pivot_set"))
+        whole = F.greatest("me.n", "pivot.n") <= WIDE
+        likely = F.when(whole, _linked(shared, "me.n", "pivot.n", percent)).otherwise(shared >= least_overlap(WIDE, percent))
+        pairs = written(rest.join(top, meet & once & likely).select(pair).distinct())
+        if not pairs.isEmpty():
+            edges = written(edges.unionByName(_confirmed(pairs, sets, percent)))
         rest = rest.join(used, ["v", "node"], "left_anti")
         pivots *= 16
 
