@@ -88,3 +88,18 @@ def test_overlapping_splits_are_refused(spark):
     with pytest.raises(ValueError):
         P.assert_no_leakage(df)
     assert P.assert_no_leakage(df.filter("split = 'train'").unionByName(spark.createDataFrame([("test", 9)], "split string, date int")))
+
+
+def test_numbers_named_like_times_stay(spark):
+    from tidemark.sources.readers import sanitize_times
+
+    df = spark.createDataFrame([(1.5, "2020-01-02 03:04:05")], "runtime double, date string")
+    assert [t for _, t in sanitize_times(df).dtypes] == ["double", "timestamp_ntz"]
+
+
+def test_value_counts_keep_values_outside_the_list(spark):
+    from tidemark.operators.stats import value_counts
+
+    df = spark.createDataFrame([(5,), (70,), (-1,)], "x bigint")
+    counts = {r["x"]: r["n"] for r in value_counts(df, "x", spark.range(10).withColumnRenamed("id", "x")).collect()}
+    assert sum(counts.values()) == 3 and counts[70] == 1 and counts[0] == 0

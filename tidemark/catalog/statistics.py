@@ -67,8 +67,8 @@ def group_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "value_counts",
-    "SELECT v.value AS l_quantity, count(l_quantity) AS n FROM generate_series(0, 60) v(value) "
-    "LEFT JOIN (SELECT CAST(l_quantity AS BIGINT) AS l_quantity FROM lineitem) ON l_quantity = v.value GROUP BY 1",
+    "SELECT coalesce(q, v.value) AS l_quantity, count(q) AS n FROM generate_series(0, 60) v(value) "
+    "FULL JOIN (SELECT CAST(l_quantity AS BIGINT) AS q FROM lineitem WHERE l_quantity IS NOT NULL) ON q = v.value GROUP BY 1",
 )
 def value_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts per whole quantity; values that never occur are listed with 0."""

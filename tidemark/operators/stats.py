@@ -58,10 +58,11 @@ def group_mean(df: DataFrame, by: Sequence[str | Column], cols: Sequence[str]) -
 
 
 def value_counts(df: DataFrame, col: str, every: DataFrame | None = None) -> DataFrame:
-    """Rows per value, in value order. ``every`` lists values that must appear, with 0 if unused."""
+    """Rows per value, in value order. ``every`` lists values that must appear, with 0 if unused; it
+    drops no other value."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if every is not None:
-        counts = every.join(counts, col, "left").na.fill(0, ["n"])
+        counts = every.join(counts, col, "full").na.fill(0, ["n"])
     return counts.orderBy(col)
 
 

@@ -87,11 +87,13 @@ def numeric_or_null(x: Column | str) -> Column:
 
 
 def sanitize_times(df: DataFrame) -> DataFrame:
-    """Every column named like a date or time becomes a timestamp cut to the second."""
+    """Every text or time column named like a date or time becomes a timestamp cut to the second; a
+    number of such a name (``runtime``) stays a number."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
-        if "date" in field.name.lower() or "time" in field.name.lower():
+        timely = isinstance(field.dataType, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+        if timely and ("date" in field.name.lower() or "time" in field.name.lower()):
             stamp = F.try_to_timestamp(column) if isinstance(field.dataType, T.StringType) else column
             column = F.date_trunc("second", stamp.cast("timestamp_ntz")).cast("timestamp_ntz").alias(field.name)
         columns.append(column)
