@@ -31,19 +31,18 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two smaller neighbours, or neighbours on both sides. The
+    centre of a star is then its least node."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count("*").alias("all"))
+    return not nodes.agg(F.count_if((F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("all") > 1)))).first()[0]
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b: bigint); root is the least node it reaches."""
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = _mark(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = written(_stars(written(_stars(edges, True)), False))
-        after = _mark(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return written(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots))

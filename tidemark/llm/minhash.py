@@ -35,6 +35,7 @@ from tidemark.plans.scratch import written
 
 SHORT = 16
 HOME = 64
+SPLIT = 512  # rows of a long list that one task compares with the pivots
 WIDE = 192  # values of the sketch that is compared when many pairs of a long list meet
 MISS = 1e-7
 BITS = 25  # of the fixed-size bitmap that spares most texts the shuffle to the exact check
@@ -116,15 +117,17 @@ def _likely(pairs: DataFrame, classes: DataFrame, k: int, o: int, percent: int)
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, decided on the full sets.
 
-    The pairs of a component of candidates are decided together, so a set travels once for all of them;
-    a component of more than HOME nodes is cut into tiles of that many by that many.
+    The pairs of a neighbourhood are decided together (a pair goes to the least candidate of its smaller
+    node), so in a group of copies a set travels once for all pairs; a neighbourhood of more than HOME
+    nodes is cut into tiles of that many by that many.
     """
-    roots = components(pairs.select("a", "b"))
-    tiles = roots.groupBy("root").agg(F.ceil(F.count("*") / HOME).alias("tiles"))
-    roots = written(roots.join(tiles, "root").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles"))).drop("tiles"))
-    for side in "ab":
-        pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("tile").alias(f"t{side}"), "root"), ["root", side] if side == "b" else side)
-    pairs = written(pairs.select("root", "ta", "tb", "a", "b"))
+    sides = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    homes = sides.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")).withColumnRenamed("node", "a")
+    pairs = written(pairs.join(homes, "a").select("root", "a", "b"))
+    nodes = pairs.select("root", F.explode(F.array("a", "b")).alias("node")).distinct()
+    tiles = nodes.groupBy("root").agg(F.ceil(F.count("*") / HOME).alias("tiles"))
+    tile = [F.pmod(F.xxhash64(side), F.col("tiles")).alias(f"t{side}") for side in "ab"]
+    pairs = written(pairs.join(tiles, "root").select("root", *tile, "a", "b"))
     ends = [pairs.select("root", "ta", "tb", F.col(side).alias("node")) for side in "ab"]
     members = ends[0].unionByName(ends[1]).distinct().join(sets.select("node", "sketch"), "node")
     members = members.withColumns({"b": F.lit(0).cast("bigint"), "asks": F.lit(False)})  # no nulls: ids stay whole numbers
@@ -178,10 +181,10 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether two nodes that meet in a long list can be linked. All rare values of such nodes are in
     short lists, whose pairs have been tested; so the pair shares none of them, and at best all others."""
     common = F.least(F.col(f"{a}.n") - F.col(f"{a}.rare"), F.col(f"{b}.n") - F.col(f"{b}.rare"))
-    return 100 * common >= percent * (common + F.col(f"{a}.rare") + F.col(f"{b}.rare"))
+    return _linked(common, f"{a}.n", f"{b}.n", percent)
 
 
-def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, k: int, percent: int) -> DataFrame:
+def _roots(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, k: int, percent: int) -> DataFrame:
     o = least_overlap(k, percent)
     exact = F.floor((percent * F.col("n") + 99) / 100)
     lists = _lists(classes, F.when(F.col("n") * 100 <= k * percent, exact).otherwise(o))
@@ -201,17 +204,17 @@ def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width:
     stars = long.filter((F.col("node") != F.col("pivot.node")) & _may_link("me", "pivot", percent)).select(pair)
     more = _short_pairs(lists).unionByName(stars).distinct().join(pairs, ["a", "b"], "left_anti")
     pairs = pairs.unionByName(_likely(more, classes, k, o, percent))
-    edges = written(_confirmed(pairs, sets, percent))
+    roots = components(written(_confirmed(pairs, sets, percent)))
 
     rest, pivots, full = long.filter(F.col("node") != F.col("pivot.node")).select("v", "node", "me", "central"), 64, False
     while True:
-        roots = components(edges)
-        rest = rest.drop("root", "main").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = rest.drop("root", "main", "spread").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sizes = rest.groupBy("v", "root").agg(F.count("*").alias("size")).groupBy("v")
-        main = sizes.agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("kinds")).filter("kinds > 1").select("v", "main")
+        main = sizes.agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("kinds"), F.ceil(F.sum("size") / SPLIT).alias("spread"))
+        main = main.filter("kinds > 1").select("v", "main", "spread")
         rest = written(rest.join(main, "v"))
         if rest.isEmpty():
-            return edges
+            return roots
         if not full:  # few rows are left: they carry their lists and a wider sketch from here on
             places = rest.groupBy("node").agg(F.collect_set("v").alias("places"))
             wide = sets.select("node", F.slice("sketch", 1, WIDE).alias("set"))
@@ -221,16 +224,17 @@ def _edges(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, width:
         nth = rest.select("v", "node", "root", "main", "central").withColumn("nth", F.row_number().over(by_list))
         used = written(nth.filter(F.col("nth") <= pivots).select("v", "node"))
         top = rest.join(used, ["v", "node"], "left_semi").select(
-            F.col("v").alias("w"), F.col("me").alias("pivot"), F.col("root").alias("pivot_root"), F.col("places").alias("pivot_places"), F.col("set").alias("pivot_set")
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("spread") - 1)).alias("part"), F.col("v").alias("w"), F.col("me").alias("pivot"), F.col("root").alias("pivot_root"), F.col("places").alias("pivot_places"), F.col("set").alias("pivot_set")
         )
-        meet = (F.col("v") == F.col("w")) & (F.col("root") != F.col("pivot_root")) & _may_link("me", "pivot", percent)
+        meet = (F.col("v") == F.col("w")) & (F.pmod(F.xxhash64("node"), F.col("spread")) == F.col("part")) & (F.col("root") != F.col("pivot_root")) & _may_link("me", "pivot", percent)
         once = F.col("v") == F.array_min(F.array_intersect("places", "pivot_places"))  # of all lists they share
         shared = F.size(F.array_intersect("set", "pivot_set"))
         whole = F.greatest("me.n", "pivot.n") <= WIDE
         likely = F.when(whole, _linked(shared, "me.n", "pivot.n", percent)).otherwise(shared >= least_overlap(WIDE, percent))
         pairs = written(rest.join(top, meet & once & likely).select(pair).distinct())
         if not pairs.isEmpty():
-            edges = written(edges.unionByName(_confirmed(pairs, sets, percent)))
+            stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(stars.unionByName(_confirmed(pairs, sets, percent)))
         rest = rest.join(used, ["v", "node"], "left_anti")
         pivots *= 16
 
@@ -253,7 +257,7 @@ def near_duplicates(
     classes = written(
         rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     )
-    roots = components(_edges(df, classes, id_col, text_col, width, k, percent))
+    roots = _roots(df, classes, id_col, text_col, width, k, percent)
     named = classes.select("node", "doc_id").join(roots, "node", "left")
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     names = named.join(least, "root", "left").select("node", F.coalesce("least", "doc_id").alias("component_id"))
