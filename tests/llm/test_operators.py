@@ -181,3 +181,17 @@ def test_pipeline(spark, folder):
         kept = after
     assert minhash.near_duplicates(kept).filter("not kept").count() == 0
     assert QUERIES and corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_components_of_chains_cliques_and_stars(spark):
+    from tidemark.llm.components import components
+
+    chain = [(i, i + 1) for i in range(1, 40)]
+    zigzag = [(100, 150), (150, 110), (110, 140), (140, 120), (120, 105)]
+    clique = [(a, b) for a in range(200, 206) for b in range(200, 206)]
+    star = [(399, i) for i in range(300, 340)]
+    edges = spark.createDataFrame(chain + zigzag + clique + star, "a bigint, b bigint")
+    got = {r.node: r.root for r in components(edges).collect()}
+    groups = [range(1, 41), [100, 105, 110, 120, 140, 150], range(200, 206), [*range(300, 340), 399]]
+    assert got == {node: min(group) for group in groups for node in group}
+    assert components(edges.filter("a < 0")).count() == 0
