@@ -103,3 +103,10 @@ def test_value_counts_keep_values_outside_the_list(spark):
     df = spark.createDataFrame([(5,), (70,), (-1,)], "x bigint")
     counts = {r["x"]: r["n"] for r in value_counts(df, "x", spark.range(10).withColumnRenamed("id", "x")).collect()}
     assert sum(counts.values()) == 3 and counts[70] == 1 and counts[0] == 0
+
+
+def test_nan_in_parquet_is_missing(spark, tmp_path):
+    df = spark.createDataFrame([(1, float("nan")), (2, 1.5)], "p_partkey bigint, p_retailprice double")
+    df.write.parquet(str(tmp_path / "part.parquet"))
+    rows = {r.p_partkey: r.p_retailprice for r in R.read_table(spark, str(tmp_path), "part").collect()}
+    assert rows == {1: None, 2: 1.5}

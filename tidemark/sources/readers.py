@@ -42,8 +42,9 @@ TABLE_SCHEMAS = {
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A record table. NaN becomes null."""
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    return reader.parquet(f"{folder}/{name}.parquet")
+    return nan_as_null(reader.parquet(f"{folder}/{name}.parquet"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
