@@ -38,8 +38,8 @@ def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x @ y.T) / np.sqrt((x**2).sum(1))[:, None] / np.sqrt((y**2).sum(1))
 
 
-def _pairs(ids: np.ndarray, x: np.ndarray, least: float, most: int) -> pd.DataFrame:
-    """Pairs of a block with a cosine of at least ``least``, of each vector its ``most`` nearest."""
+def _near(ids: np.ndarray, x: np.ndarray, least: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (a, b, sim) of a block with a cosine of at least ``least``, of each vector its ``most`` nearest."""
     sims = _cosines(x, x)
     np.fill_diagonal(sims, -2)
     if len(x) > most + 1:
@@ -49,29 +49,34 @@ def _pairs(ids: np.ndarray, x: np.ndarray, least: float, most: int) -> pd.DataFr
         keep = sims >= least
     i, j = np.nonzero(keep | keep.T)
     up = ids[i] < ids[j]
-    return pd.DataFrame({"a": ids[i[up]], "b": ids[j[up]], "sim": sims[i[up], j[up]]})
+    return ids[i[up]], ids[j[up]], sims[i[up], j[up]]
+
+
+def _pairs(ids: np.ndarray, x: np.ndarray, least: float, most: int) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("a", "b", "sim"), _near(ids, x, least, most))))
 
 
-def _table(classes: DataFrame, bits: int, seed: int) -> DataFrame:
-    """Pairs found by one hash table. Rows are range-partitioned by (label, length, code, projection), so a
-    code that many vectors share is spread over tasks and cut into blocks of neighbours."""
+def _tables(classes: DataFrame, bits: int, first: int) -> DataFrame:
+    """Pairs found by TABLES hash tables, in one shuffle. Rows are range-partitioned by (table, label, length,
+    code, projection), so a code that many vectors share is spread over tasks and cut into blocks of neighbours."""
 
     def code(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = part.assign(code=0, at=0.0)
-            for d, rows in part.groupby("d").groups.items():
-                x = matrix(part.loc[rows, "v"], "<f4")
-                planes = np.random.default_rng([seed, int(d)]).standard_normal((int(d), bits + 1))
-                seen = (x / np.sqrt((x**2).sum(1))[:, None]) @ planes
-                out.loc[rows, "code"] = (seen[:, :-1] > 0) @ (1 << np.arange(bits))
-                out.loc[rows, "at"] = seen[:, -1]
-            yield out
+            units = {d: (rows, matrix(part.loc[rows, "v"], "<f4")) for d, rows in part.groupby("d").groups.items()}
+            for seed in range(first, first + TABLES):
+                out = part.assign(seed=seed, code=0, at=0.0)
+                for d, (rows, x) in units.items():
+                    planes = np.random.default_rng([seed, int(d)]).standard_normal((int(d), bits + 1))
+                    seen = (x / np.sqrt((x**2).sum(1))[:, None]) @ planes
+                    out.loc[rows, "code"] = (seen[:, :-1] > 0) @ (1 << np.arange(bits))
+                    out.loc[rows, "at"] = seen[:, -1]
+                yield out
 
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for part in parts:
             part = part if rest is None else pd.concat([rest, part], ignore_index=True)
-            key = part[["label", "d", "code"]].to_numpy()
+            key = part[["seed", "label", "d", "code"]].to_numpy()
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1 if len(part) else np.zeros(0, int)
             edges = [0, *cuts.tolist(), len(part)]
             for n, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
@@ -84,9 +89,12 @@ def _table(classes: DataFrame, bits: int, seed: int) -> DataFrame:
         if rest is not None and len(rest):
             yield _pairs(rest["node"].to_numpy(), matrix(rest["v"], "<f4"), LOOSE, LISTED)
 
-    coded = classes.select("node", "label", "d", "v").mapInPandas(code, "node bigint, label bigint, d int, v binary, code bigint, at double")
+    coded = classes.select("node", "label", "d", "v").mapInPandas(
+        code, "node bigint, label bigint, d int, v binary, seed int, code bigint, at double"
+    )
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = coded.repartitionByRange(n, "label", "d", "code", "at").sortWithinPartitions("label", "d", "code", "at")
+    order = ["seed", "label", "d", "code", "at"]
+    sorted_rows = coded.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return sorted_rows.mapInPandas(compare, _PAIRS)
 
 
@@ -101,13 +109,34 @@ def _meetings(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs that meet at a common neighbour: of each node its list and the nearest of those that list it."""
     nth = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("sim"), "u"))
     listed_by = lists.withColumn("nth", nth).filter(F.col("nth") <= LISTED).select(F.col("v").alias("at"), F.col("u").alias("node"))
-    members = lists.select(F.col("u").alias("at"), F.col("v").alias("node")).unionByName(listed_by).distinct()
-    members = members.join(classes.select("node", "v"), "node")
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _pairs(pdf["node"].to_numpy(), matrix(pdf["v"], "<f4"), LOOSE, LISTED)
+    members = lists.select(F.col("u").alias("at"), F.col("v").alias("node")).unionByName(listed_by)
+    members = members.join(classes.select("node", "v"), "node").select("at", "node", "v")
+
+    def pairs_of(part: pd.DataFrame, edges: list[int]) -> pd.DataFrame:
+        """The pairs of each meeting point; edges[i] to edges[i + 1] are the rows of one."""
+        nodes, found = part["node"].to_numpy(), []
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            ids, rows = np.unique(nodes[lo:hi], return_index=True)
+            found.append(_near(ids, matrix(part["v"].iloc[lo + rows], "<f4"), LOOSE, LISTED))
+        columns = [np.concatenate(c) for c in zip(*found)]
+        return pd.DataFrame(dict(zip(("a", "b", "sim"), columns))).drop_duplicates(["a", "b"])
+
+    def meet(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the rows of the last meeting point, which may go on in the next batch
+        for part in parts:
+            part = part if rest is None else pd.concat([rest, part], ignore_index=True)
+            if not len(part):
+                continue
+            at = part["at"].to_numpy()
+            edges = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist()]
+            if len(edges) > 1:
+                yield pairs_of(part, edges)
+            rest = part.iloc[edges[-1] :]
+        if rest is not None:
+            yield pairs_of(rest, [0, len(rest)])
 
-    return members.groupBy("at").applyInPandas(meet, _PAIRS)
+    # at most 2 x LISTED rows for each meeting point
+    return members.repartition("at").sortWithinPartitions("at").mapInPandas(meet, _PAIRS)
 
 
 def _tiles(classes: DataFrame, members: DataFrame, least: float) -> DataFrame:
@@ -181,9 +210,8 @@ def near_duplicates(
 
     pairs, seed = classes.sparkSession.createDataFrame([], _PAIRS), 0
     for _ in range(4):
-        for _ in range(TABLES):
-            pairs = pairs.unionByName(_table(classes, bits, seed))
-            seed += 1
+        pairs = pairs.unionByName(_tables(classes, bits, seed))
+        seed += TABLES
         pairs = written(pairs.groupBy("a", "b").agg(F.first("sim").alias("sim")))
         count = pairs.count()
         for _ in range(ROUNDS):
@@ -201,11 +229,12 @@ def near_duplicates(
         recall, checked = _audit(classes, links, least)
         if recall >= RECALL:
             break
-    links = written(links.select("a", "b").unionByName(checked).distinct())
+    if recall < 1:  # links of tiles lie within components; only those of the audit can join two
+        links = written(links.select("a", "b").unionByName(checked).distinct())
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(checked))
     numbers = classes.select("node", "number")
     each = links.select(F.col("a").alias("u"), F.col("b").alias("node")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("node")))
     linked = each.join(numbers, "node").groupBy(F.col("u").alias("node")).agg(F.sum("number").alias("others"))
-    roots = components(links)
     named = classes.join(roots, "node", "left").join(linked, "node", "left")
     least_id = named.filter("root is not null").groupBy("root").agg(F.min("first_id").alias("least"))
     named = named.join(least_id, "root", "left").select(
