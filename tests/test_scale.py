@@ -16,7 +16,7 @@ from tidemark.operators import splits as P
 from tidemark.operators import stats as G
 from tidemark.operators import windows as W
 from tidemark.plans import longseries as S
-from tidemark.plans.ranking import narrowed_quantiles, quantiles, ranked_counts
+from tidemark.plans.ranking import narrowed_quantiles, quantiles, quantiles_of_ranked, ranked_counts
 from tidemark.plans.scratch import scratch_root
 
 
@@ -109,7 +109,7 @@ def test_narrowed_quantiles_leave_most_rows_behind(spark):
     original = ranking.rank_counted
     ranking.rank_counted = lambda counts, *a, **k: (sizes.append(counts.count()), original(counts, *a, **k))[1]
     try:
-        assert quantiles(df, "v", {"m": 0.5, "p": 0.95}, narrow=True).count() == 1
+        assert quantiles(df, "v", {"m": 0.5, "p": 0.95}).count() == 1
     finally:
         ranking.rank_counted = original
     assert sizes[0] < 2_000
@@ -117,9 +117,14 @@ def test_narrowed_quantiles_leave_most_rows_behind(spark):
 
 def test_null_group_is_kept(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
-    for narrow in (False, True):
-        got = {r.g: r.m for r in quantiles(df, "v", {"m": 0.5}, ["g"], narrow=narrow).collect()}
-        assert got == {None: 2.0, "a": 5.0}
+    whole = quantiles_of_ranked(ranked_counts(df, "v", ["g"]), "v", {"m": 0.5}, ["g"])
+    for table in (quantiles(df, "v", {"m": 0.5}, ["g"]), whole):
+        assert {r.g: r.m for r in table.collect()} == {None: 2.0, "a": 5.0}
+
+
+def test_density_sends_sums_only(spark):
+    plan = K.kernel_density(spark.range(1000).select((F.col("id") / 7).alias("x")), "x")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(point" in plan and "hashpartitioning(x" not in plan
 
 
 def test_auc_against_all_pairs(spark):

@@ -14,11 +14,25 @@ from tidemark.sources import sinks as K
 
 
 def test_csv_behind_a_preamble(spark, tmp_path):
-    lines = ["latitude,longitude", "42.3,-71.1", "", "time,temp (C),rain", "2020-01-01,1.5,0.0", "2020-13-01,9,9", "2020-01-02,NaN,"]
+    lines = ["latitude,longitude", "2019,-71.1", "", "time,temp (C),rain", "2020-01-01,1.5,0.0", "2020-13-01,9,9", "", "2020-01-02,NaN,", "none,8,8"]
     (tmp_path / "w.csv").write_text("\n".join(lines))
     schema = T.StructType([T.StructField("time", T.DateType()), T.StructField("temp (C)", T.DoubleType()), T.StructField("rain", T.DoubleType())])
-    rows = R.read_csv_after_preamble(spark, str(tmp_path / "w.csv"), schema).orderBy("time").collect()
-    assert [tuple(r) for r in rows] == [(dt.date(2020, 1, 1), 1.5, 0.0), (dt.date(2020, 1, 2), None, None)]
+    rows = R.read_csv_after_preamble(spark, str(tmp_path / "w.csv"), schema).orderBy("time", "rain").collect()
+    assert [tuple(r) for r in rows] == [(None, 8.0, 8.0), (None, 9.0, 9.0), (dt.date(2020, 1, 1), 1.5, 0.0), (dt.date(2020, 1, 2), None, None)]
+
+
+def test_preambles_of_several_split_files(spark, tmp_path):
+    for n in range(3):
+        lines = ["a,b", "2019,1", "", "time,x", *["2019,1"] * 5, *[f"2020-01-01,{n * 1000 + i}" for i in range(1000)]]
+        (tmp_path / f"{n}.csv").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        df = R.read_csv_after_preamble(spark, str(tmp_path), T.StructType.fromDDL("time string, x int"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    rows = df.groupBy("time").agg(F.count("*").alias("n"), F.sum("x").alias("sum")).orderBy("time").collect()
+    assert [tuple(r) for r in rows] == [("2019", 15, 15), ("2020-01-01", 3000, 2999 * 3000 // 2)]
 
 
 def test_plain_csv_with_odd_names(spark, tmp_path):

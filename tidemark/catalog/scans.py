@@ -36,14 +36,27 @@ def scan_tables(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-@query("csv_preamble_scan", daily_sql("SELECT site, date, temp, rain, wind FROM weather"))
+@query(
+    "csv_preamble_scan",
+    daily_sql("SELECT site, CASE WHEN day(date) <> 13 THEN date END AS date, temp, rain, wind FROM weather"),
+)
 def csv_preamble_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the weather table as text behind two metadata lines and a header, and read it back."""
+    """Write the weather table as text files, each behind a metadata line that looks like a row, and read
+    them back. The date of each 13th is written unreadable: such rows stay, without a date."""
     path = scratch_path(spark, "weather-text")
-    rows = daily.weather(spark, folder).select(F.to_csv(F.struct("date", "site", "temp", "rain", "wind")).alias("value"))
-    lines = ["latitude,longitude,elevation", "42.3,-71.1,38.0", "", "time,site,temp,rain,wind"]
-    rows.write.text(path)
-    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(path)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    date = F.when(F.day("date") == 13, F.lit("no date")).otherwise(F.col("date").cast("string")).alias("time")
+    rows = daily.weather(spark, folder).select(
+        F.pmod(F.xxhash64("date", "site"), F.lit(files)).alias("file"),
+        F.lit(0).alias("nth"),
+        F.to_csv(F.struct(date, "site", "temp", "rain", "wind")).alias("value"),
+    )
+    lines = ["latitude,longitude,elevation", "2019,-71.1,38.0", "", "time,site,temp,rain,wind"]
+    head = [(nth - len(lines), line) for nth, line in enumerate(lines)]
+    head = spark.createDataFrame(head, "nth int, value string")
+    head = head.select(F.explode(F.expr(f"sequence(0L, {files - 1}L)")).alias("file"), "nth", "value")
+    placed = rows.unionByName(head).repartition(files, "file").sortWithinPartitions("file", "nth")
+    placed.select("file", "value").write.partitionBy("file").text(path)
     schema = T.StructType.fromDDL("time date, site int, temp double, rain double, wind double")
     read = read_csv_after_preamble(spark, path, schema)
     return read.select("site", F.col("time").alias("date"), "temp", "rain", "wind")

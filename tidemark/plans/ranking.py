@@ -18,7 +18,6 @@ from tidemark.plans.scratch import written
 
 FROM_START = Window.unboundedPreceding
 SKETCH_ACCURACY = 10_000
-RANK_WHOLE_BELOW = 1 << 30  # bytes by the planner's estimate
 
 
 def ranked_counts(
@@ -51,12 +50,13 @@ def rank_counted(counts: DataFrame, value: str, by: Sequence[str], extras: Seque
 
     heads = placed.groupBy("_part", *by).agg(F.sum("n").alias("_rows"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(FROM_START, -1)
-    offsets = heads.select(
+    # one row per range partition and group; written, so that its true size decides how it is joined
+    offsets = written(heads.select(
         F.col("_part").alias("_o_part"),
         *[F.col(k).alias(f"_o_{k}") for k in by],
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_rows").over(Window.partitionBy(*by)).alias("n_total"),
-    )
+    ))
     same = (F.col("_part") == F.col("_o_part")) & same_keys(by, "_o_")
     return numbered.join(offsets, same, "inner").select(
         *by,
@@ -79,9 +79,14 @@ def join_group_stats(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> Data
     The statistics are written first, so they are broadcast only if the written size allows it; a
     larger table is joined by shuffle, where hot groups are split at run time.
     """
+    return _join_written(df, written(stats) if by else stats, by)
+
+
+def _join_written(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    """:func:`join_group_stats` with statistics that are written already."""
     if not by:
         return attach_row(df, stats).select(*df.columns, "_stats.*")
-    side = written(stats.withColumnsRenamed({k: f"_g_{k}" for k in by}))
+    side = stats.withColumnsRenamed({k: f"_g_{k}" for k in by})
     return df.join(side, same_keys(by, "_g_")).drop(*[f"_g_{k}" for k in by])
 
 
@@ -110,31 +115,19 @@ def quantiles(
     probs: Mapping[str, float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
-    narrow: bool | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation per group.
 
-    Exact by default: a large table is narrowed down first (``narrowed_quantiles``), a small one is
-    ranked as a whole; ``narrow`` forces the choice. With ``accuracy`` the sketch of
-    ``percentile_approx`` is used alone: one scan, and a rank error of at most rows / accuracy, up to whole
-    ranks.
+    Exact by default: the table is narrowed down first (``narrowed_quantiles``); only if a bracket misses
+    its rank is it ranked as a whole. With ``accuracy`` the sketch of ``percentile_approx`` is used alone:
+    one scan, and a rank error of at most rows / accuracy, up to whole ranks.
     """
     if accuracy is not None:
         sketch = F.percentile_approx(value, list(probs.values()), accuracy).alias("_sketch")
         rough = df.groupBy(*by).agg(sketch)
         return rough.select(*by, *[F.col("_sketch")[i].cast("double").alias(name) for i, name in enumerate(probs)])
-    if narrow is None:
-        narrow = planned_bytes(df) > RANK_WHOLE_BELOW
-    if narrow:
-        exact = narrowed_quantiles(df, value, probs, by)
-        if exact is not None:
-            return exact
-    return quantiles_of_ranked(ranked_counts(df, value, by), value, probs, by)
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The planner's size estimate of a table; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    exact = narrowed_quantiles(df, value, probs, by)
+    return exact if exact is not None else quantiles_of_ranked(ranked_counts(df, value, by), value, probs, by)
 
 
 def narrowed_quantiles(
@@ -157,7 +150,7 @@ def narrowed_quantiles(
     inside = reduce(lambda a, b: a | b, [F.col("_v").between(lo, hi) for lo, hi in ends])
     # rows outside every bracket share the null value, so each task sends one row per group for them
     counted = written(
-        join_group_stats(known, brackets, by)
+        _join_written(known, brackets, by)
         .groupBy(*by, F.when(inside, F.col("_v")).alias("_value"))
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -165,7 +158,7 @@ def narrowed_quantiles(
         )
     )
 
-    lows = join_group_stats(counted, brackets, by)
+    lows = _join_written(counted, brackets, by)
     limits = []
     for i, (name, q) in enumerate(probs.items()):
         lo, hi = ends[i]
@@ -185,7 +178,7 @@ def narrowed_quantiles(
         return None
 
     candidates = counted.filter(F.col("_value").isNotNull()).select(*by, "_value", "n")
-    ranked = join_group_stats(rank_counted(candidates, "_value", by).drop("n_total"), totals, by)
+    ranked = _join_written(rank_counted(candidates, "_value", by).drop("n_total"), totals, by)
     picks, results = [], []
     for i, (name, q) in enumerate(probs.items()):
         position = (F.col("_total") - 1) * F.lit(float(q))

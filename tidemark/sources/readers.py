@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import nan_to_null
+from tidemark.plans.scratch import written
 
 # Columns of the daily source tables.
 POLLUTANT_SCHEMA = (
@@ -53,15 +54,24 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return nan_as_null(df)
 
 
-def read_csv_after_preamble(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV whose header comes after metadata lines.
+def read_csv_after_preamble(spark: SparkSession, path: str, schema: T.StructType, skip_lines: int = 3) -> DataFrame:
+    """CSV whose header comes after ``skip_lines`` other lines, blank ones included, in each file.
 
-    A data row is a line whose first field is a date, so neither the length of the preamble nor the
-    way a file is split between tasks matters.
+    These lines and the header go by their position, whatever they hold, and every later line that is
+    not blank is a row; an unreadable field, the date too, becomes null. The lines of the block at the
+    start of a file are read in order by one task, so their ids follow each other: a line's position is its
+    id less the least id of that block. The ids are written once, with the lines.
     """
-    first = F.trim(F.regexp_replace(F.split_part(F.col("value"), F.lit(","), F.lit(1)), '"', ""))
-    rows = spark.read.text(path).filter(F.try_to_timestamp(first).isNotNull())
-    parsed = rows.select(F.from_csv("value", _ddl(schema)).alias("row"))
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    lines = written(lines)
+    first = written(lines.filter("start = 0").groupBy("file").agg(F.min("id").alias("first")))
+    rows = lines.join(first, "file", "left").filter((F.col("start") > 0) | (F.col("id") - F.col("first") > skip_lines))
+    parsed = rows.filter(F.trim("value") != "").select(F.from_csv("value", _ddl(schema)).alias("row"))
     return nan_as_null(parsed.select("row.*"))
 
 
