@@ -140,28 +140,32 @@ def _meetings(lists: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _tiles(classes: DataFrame, members: DataFrame, least: float) -> DataFrame:
-    """All pairs of each saturated component (node, root) with the asked cosine, in tiles of TILE vectors."""
+    """(node, others): the rows that each node of the saturated components (node, root) is linked to. All
+    vectors of a component are compared in tiles of TILE; a tile sends one count for each node, not its pairs."""
     sizes = members.groupBy("root").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
-    rows = members.join(sizes, "root").join(classes.select("node", "v"), "node").withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")))
-    left = rows.withColumn("s", F.explode(F.expr("sequence(t, tiles - 1)"))).select("root", F.col("t").alias("i"), F.col("s").alias("j"), "node", "v")
-    right = rows.withColumn("s", F.explode(F.expr("sequence(0L, t)"))).select("root", F.col("s").alias("i"), F.col("t").alias("j"), "node", "v")
+    rows = members.join(sizes, "root").join(classes.select("node", "v", "number"), "node").withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    left = rows.withColumn("s", F.explode(F.expr("sequence(t, tiles - 1)"))).select("root", F.col("t").alias("i"), F.col("s").alias("j"), "node", "v", "number")
+    right = rows.withColumn("s", F.explode(F.expr("sequence(0L, t)"))).select("root", F.col("s").alias("i"), F.col("t").alias("j"), "node", "v", "number")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if not len(x) or not len(y):
-            return pd.DataFrame({"a": [], "b": [], "sim": []})
+            return pd.DataFrame({"node": [], "others": []}, dtype="int64")
         a, b = x["node"].to_numpy(), y["node"].to_numpy()
-        sims = _cosines(matrix(x["v"], "<f4"), matrix(y["v"], "<f4"))
-        i, j = np.nonzero((sims >= least) & (a[:, None] != b[None, :]))
-        return pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j]), "sim": sims[i, j]}).drop_duplicates(["a", "b"])
+        near = (_cosines(matrix(x["v"], "<f4"), matrix(y["v"], "<f4")) >= least) & (a[:, None] != b[None, :])
+        counts = [pd.DataFrame({"node": a, "others": near @ y["number"].to_numpy()})]
+        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:  # else both sides are the same vectors
+            counts.append(pd.DataFrame({"node": b, "others": x["number"].to_numpy() @ near}))
+        return pd.concat(counts)
 
     both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
-    return both.groupBy("root", "i", "j").applyInPandas(compare, _PAIRS)
+    counted = both.groupBy("root", "i", "j").applyInPandas(compare, "node bigint, others bigint")
+    return counted.groupBy("node").agg(F.sum("others").alias("others"))
 
 
-def _audit(classes: DataFrame, links: DataFrame, least: float) -> tuple[float, DataFrame]:
-    """Recall over a bounded sample of vectors, and the links of the sample found by brute force."""
-    spark = classes.sparkSession
+def _audit(classes: DataFrame, links: DataFrame, tiled: DataFrame, least: float) -> tuple[float, DataFrame]:
+    """Recall over a bounded sample of vectors, and the links that brute force finds besides. Known are ``links``
+    and the pairs of one component of ``tiled`` (node, root)."""
     sample = classes.orderBy(F.xxhash64(F.lit(9), "node"), "node").limit(AUDIT).select("node", "label", "d", "v").toPandas()
     groups = {k: (g["node"].to_numpy(), matrix(g["v"], "<f4")) for k, g in sample.groupby(["label", "d"])}
 
@@ -176,9 +180,13 @@ def _audit(classes: DataFrame, links: DataFrame, least: float) -> tuple[float, D
                     yield pd.DataFrame({"q": ids[i], "a": np.minimum(ids[i], mine[j]), "b": np.maximum(ids[i], mine[j])})
 
     truth = written(classes.select("node", "label", "d", "v").mapInPandas(search, "q bigint, a bigint, b bigint"))
-    known = links.select("a", "b").withColumn("known", F.lit(1))
-    total, found = truth.join(known, ["a", "b"], "left").agg(F.count("*"), F.count("known")).first()
-    return (found / total if total else 1.0), spark.createDataFrame([], "a bigint, b bigint") if not total else truth.select("a", "b").distinct()
+    known = links.select("a", "b").withColumn("known", F.lit(True))
+    seen = truth.join(known, ["a", "b"], "left")
+    for side in "ab":
+        seen = seen.join(tiled.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+    seen = written(seen.select("a", "b", F.coalesce("known", F.col("ra") == F.col("rb"), F.lit(False)).alias("known")))
+    total, found = seen.agg(F.count("*"), F.count_if("known")).first()
+    return (found / total if total else 1.0), seen.filter("not known").select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -224,17 +232,18 @@ def near_duplicates(
         nth = _nearest(links).groupBy("u").agg(F.count("*").alias("n"))
         roots = components(links)
         full = nth.filter(F.col("n") >= LISTED).select(F.col("u").alias("node")).join(roots, "node").select("root").distinct()
-        more = _tiles(classes, roots.join(full, "root", "left_semi"), least)
-        links = written(links.unionByName(more).groupBy("a", "b").agg(F.first("sim").alias("sim")))
-        recall, checked = _audit(classes, links, least)
+        tiled = written(roots.join(full, "root", "left_semi"))
+        recall, checked = _audit(classes, links, tiled, least)
         if recall >= RECALL:
             break
-    if recall < 1:  # links of tiles lie within components; only those of the audit can join two
-        links = written(links.select("a", "b").unionByName(checked).distinct())
+    if recall < 1:
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(checked))
     numbers = classes.select("node", "number")
-    each = links.select(F.col("a").alias("u"), F.col("b").alias("node")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("node")))
-    linked = each.join(numbers, "node").groupBy(F.col("u").alias("node")).agg(F.sum("number").alias("others"))
+    # tiles count all links of their components, so only the links of the other ones and of the audit are added
+    few = links.join(tiled, F.col("a") == F.col("node"), "left_anti").select("a", "b").unionByName(checked)
+    each = few.select(F.col("a").alias("u"), F.col("b").alias("node")).unionByName(few.select(F.col("b").alias("u"), F.col("a").alias("node")))
+    linked = each.join(numbers, "node").select(F.col("u").alias("node"), F.col("number").alias("others"))
+    linked = linked.unionByName(_tiles(classes, tiled, least)).groupBy("node").agg(F.sum("others").alias("others"))
     named = classes.join(roots, "node", "left").join(linked, "node", "left")
     least_id = named.filter("root is not null").groupBy("root").agg(F.min("first_id").alias("least"))
     named = named.join(least_id, "root", "left").select(
