@@ -172,6 +172,31 @@ def test_license_notices(spark, folder):
     assert [(r["license"], r["extra"]) for r in licenses.scan(changed).collect()] == [("Apache-2.0", "big")]
 
 
+def test_license_templates_are_reachable(spark):
+    prose = "The river rose in the night and by morning the lower fields were under water."
+    rows = [(i, f"{prose} {licenses.TEMPLATES[name]} {prose}") for i, name in enumerate(sorted(licenses.TEMPLATES))]
+    rows += [(1000 + i, text) for i, text in enumerate(["Copyright (c) 2019-2021 Some Body. All rights reserved.", "we reserved all rights", "copyright, licensed"])]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("missing = '' and extra = ''")
+    names = {}
+    for r in found.orderBy("doc_id", "nth").collect():
+        names.setdefault(r["doc_id"], []).append(r["license"])
+    assert [names.get(i) for i in range(len(licenses.TEMPLATES))] == [[name] for name in sorted(licenses.TEMPLATES)]
+    assert names.get(1000) == ["Copyright (c)", "All rights reserved"] and 1001 not in names and 1002 not in names
+
+
+def test_license_marks_hold_with_differing_words():
+    scanner, seen = licenses.Scanner(licenses.TEMPLATES), re.compile(licenses.mark(licenses.TEMPLATES))
+    rng = random.Random(5)
+    for name, template in licenses.TEMPLATES.items():
+        words = template.split()
+        for _ in range(20):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), int(licenses.DIFFERENT * len(words))):
+                changed[at] = ""
+            text = "zz " + " ".join(w for w in changed if w) + " zz"
+            assert seen.search(text) and any(scanner.names.index(name) in owners for *_, owners in scanner.blocks(text)), text
+
+
 def test_pipeline(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = docs

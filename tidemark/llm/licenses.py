@@ -1,10 +1,12 @@
 """License notices by conditional compression.
 
-Candidate blocks are the words around every word that licenses use. A block is compressed by zstandard
-alone and again with each template as a raw dictionary; what the dictionary saves measures how much of
-the template's wording the block has. Templates are tried in the order of their savings, and one is
-confirmed only if the words that differ between it and the best-matching stretch of the block are few.
-The differing words are reported. A block may hold several notices.
+A template is cut into one piece more than the words that may differ, so every stretch that may be
+confirmed holds one of its pieces word for word. Candidate blocks are the words around all pieces. A block
+is compressed by zstandard alone and again with each template that has a piece in it as a raw dictionary;
+what the dictionary saves measures how much of the template's wording the block has. A template is
+confirmed only if the words that differ between it and the best-matching stretch of the block are few;
+of templates that claim the same words the one with most of its words there wins, then the one that saves
+most. The differing words are reported. A block may hold several notices.
 """
 
 from __future__ import annotations
@@ -18,54 +20,123 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Short notices as their licenses ask for them, or as they are in common use.
+# Short notices as their licenses ask for them, or as they are in common use. A year stands for any year.
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_2 = _BSD + " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
 TEMPLATES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0 (file header)": _GNU.format("Affero General Public License", "3"),
+    "All rights reserved": "All rights reserved.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 (file header)": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "BSD (conditions not given)": _BSD,
+    "BSD-2-Clause": _BSD_2,
+    "BSD-2-Clause (name)": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause": _BSD_2 + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-3-Clause (name)": "Released under the BSD 3-Clause License.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC0-1.0": "Licensed under CC0 1.0.",
+    "CC0-1.0 (waiver)": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "Copyright": "Copyright 2000",
+    "Copyright (c)": "Copyright (c)",
+    "Copyright (sign)": "Copyright ©",
+    "Copyright (sign and year)": "© 2000",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0 (file header)": _GNU.format("General Public License", "2"),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0 (file header)": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-3.0 (file header)": _GNU.format("General Public License", "3"),
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "ISC (name)": "Released under the ISC License.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1 (file header)": _GNU.format("Lesser General Public License", "2.1").replace("program", "library"),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0 (file header)": _GNU.format("Lesser General Public License", "3"),
     "MIT": "Released under the MIT License.",
     "MIT (permission)": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Public domain": "in the public domain",
+    "Public domain (dedicated)": "dedicated to the public domain",
+    "Public domain (released)": "released into the public domain",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Unlicense (name)": "Released under the Unlicense.",
 }
-MARK = r"(?i)licen[sc]|copyright|redistribut|permission is hereby|public domain"
 LEVEL = 3
-SAVED = 0.4  # of what a dictionary saves on its own template
 DIFFERENT = 0.2  # of the template's words, at most
 
 _WORD = re.compile(r"\S+")
-_MARK = re.compile(MARK)
+_STRIP = ".,;:()[]\"'*#/-"
+_YEAR = "(?:19|20)[0-9]{2}(?:[-–](?:(?:19|20)?[0-9]{2})?)?"
+_IS_YEAR = re.compile(_YEAR)
+_SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _plain(word: str) -> str:
-    return word.lower().strip(".,;:()[]\"'*#/-") or word
+    return word.lower().strip(_STRIP) or word
+
+
+def _key(word: str) -> str:
+    """What words are compared by: any year is like any other."""
+    word = _plain(word)
+    return "<year>" if _IS_YEAR.fullmatch(word) else word
+
+
+def pieces(words: list[str]) -> list[tuple[str, ...]]:
+    """One piece more than the words that may differ: at least one is whole in any stretch that is confirmed."""
+    parts = int(DIFFERENT * len(words)) + 1
+    cuts = [len(words) * i // parts for i in range(parts + 1)]
+    return [tuple(words[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def mark(templates: dict[str, str]) -> str:
+    """Pattern (Java and Python) that finds a piece of any template; pieces that begin alike share a branch."""
+    strip = re.escape(_STRIP)
+    gap = f"[{strip}]*[{_SPACE}]+[{strip}]*"
+    one = lambda word: _YEAR if word == "<year>" else re.escape(word)
+    tree: dict[str, dict[str, set[str]]] = {}
+    for text in templates.values():
+        for first, *rest in pieces([_key(w) for w in text.split()]):
+            tree.setdefault(first[0], {}).setdefault(first, set()).add("".join(gap + one(w) for w in rest))
+    by_letter = []
+    for _, by_word in sorted(tree.items()):
+        words = [one(first) + f"(?:{'|'.join(sorted(rests))})" for first, rests in sorted(by_word.items())]
+        by_letter.append(f"(?={'[12]' if '<year>' in by_word else re.escape(min(by_word)[0])})(?:{'|'.join(words)})")
+    return f"(?i)(?<![^{_SPACE}{strip}])(?:{'|'.join(by_letter)})(?![^{_SPACE}{strip}])"
 
 
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
         texts = [" ".join(templates[n].lower().split()) for n in self.names]
-        self.words = [[_plain(w) for w in t.split()] for t in texts]
-        self.reach = max(map(len, self.words))
+        self.words = [[_key(w) for w in t.split()] for t in texts]
+        self.reach = max(len(w) + int(DIFFERENT * len(w)) for w in self.words)
+        self.pieces: dict[str, dict[tuple[str, ...], set[int]]] = {}
+        for j, words in enumerate(self.words):
+            for piece in pieces(words):
+                self.pieces.setdefault(piece[0], {}).setdefault(piece, set()).add(j)
         plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.alone = lambda data: len(plain.compress(data))
         self.with_one = []
         for text in texts:
             held = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_one.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False))
-        self.own = [self.alone(t.encode()) - len(c.compress(t.encode())) for t, c in zip(texts, self.with_one)]
 
-    def blocks(self, text: str) -> Iterator[tuple[list[str], list[tuple[int, int]]]]:
-        """Words and their places around the marks; stretches that overlap are one block."""
+    def blocks(self, text: str) -> Iterator[tuple[list[str], list[tuple[int, int]], set[int]]]:
+        """Words, their places and the templates with a piece there; stretches that overlap are one block."""
         places = [m.span() for m in _WORD.finditer(text)]
-        near = []
-        for mark in _MARK.finditer(text):
-            at = _first_after(places, mark.start())
+        keys = [_key(text[a:b]) for a, b in places]
+        marks = []
+        for at, word in enumerate(keys):
+            for piece, owners in self.pieces.get(word, {}).items():
+                if tuple(keys[at : at + len(piece)]) == piece:
+                    marks.append((at, owners))
+        near: list[list[int]] = []
+        for at, _ in marks:
             lo, hi = max(0, at - self.reach), min(len(places), at + self.reach + 3)
             if near and lo <= near[-1][1]:
                 near[-1][1] = hi
@@ -74,70 +145,68 @@ class Scanner:
         for lo, hi in near:
             step = 4 * self.reach  # long blocks come in stretches that overlap by more than a template
             for start in range(lo, hi, step):
-                part = places[start : min(hi, start + step + 2 * self.reach)]
-                yield [text[a:b] for a, b in part], part
+                end = min(hi, start + step + 2 * self.reach)
+                part = places[start:end]
+                yield [text[a:b] for a, b in part], part, set().union(*(owners for at, owners in marks if start <= at < end))
 
     def scan(self, text: str) -> list[tuple]:
         """(license, first character, end, bytes saved, words missing, words extra), by place."""
         found: dict[tuple, tuple] = {}
-        for words, places in self.blocks(text):
-            plain = [_plain(w) for w in words]
+        for words, places, owners in self.blocks(text):
+            plain, keys = [_plain(w) for w in words], [_key(w) for w in words]
             data = " ".join(words).lower().encode()
             alone = self.alone(data)
-            saved = [alone - len(c.compress(data)) for c in self.with_one]
+            saved = {j: alone - len(self.with_one[j].compress(data)) for j in sorted(owners)}
             free = [True] * len(plain)
-            for j in sorted(range(len(saved)), key=lambda j: (-saved[j], self.names[j])):
-                if saved[j] < SAVED * self.own[j]:
-                    continue
-                for lo, hi, missing, extra in self.confirm(j, plain, free):
-                    free[lo:hi] = [False] * (hi - lo)
-                    key = (places[lo][0], places[hi - 1][1])
-                    found.setdefault(key, (self.names[j], *key, saved[j], missing, extra))
+            hits = {j: list(self.confirm(j, plain, keys, free)) for j in saved}
+            while any(hits.values()):
+                _, _, j, (lo, hi, missing, extra) = min(
+                    ((len(h[2]) * 2 + len(h[3]) - len(self.words[j]), -saved[j], j, h) for j, mine in hits.items() for h in mine), key=lambda x: x[:3]
+                )
+                free[lo:hi] = [False] * (hi - lo)
+                key = (places[lo][0], places[hi - 1][1])
+                found.setdefault(key, (self.names[j], *key, saved[j], " ".join(missing), " ".join(extra)))
+                for k, mine in hits.items():
+                    if any(h[0] < hi and lo < h[1] for h in mine):
+                        hits[k] = [h for h in self.confirm(k, plain, keys, free)]
         out: list[tuple] = []
         for hit in sorted(found.values(), key=lambda h: (h[1], -h[2])):
             if not out or hit[1] >= out[-1][2]:
                 out.append(hit)
         return out
 
-    def confirm(self, j: int, plain: list[str], free: list[bool]) -> Iterator[tuple[int, int, str, str]]:
+    def confirm(self, j: int, plain: list[str], keys: list[str], free: list[bool]) -> Iterator[tuple[int, int, list[str], list[str]]]:
         """Stretches of free words that differ from template j in few words: those words."""
         template, most = self.words[j], DIFFERENT * len(self.words[j])
         rare = set(template)
-        taken = list(free)
-        for start in range(len(plain)):
-            if not taken[start] or plain[start] not in rare or (start and taken[start - 1] and plain[start] != template[0] and plain[start - 1] in rare):
-                continue
-            end = start
-            while end < len(plain) and taken[end] and end - start < len(template) + int(most) + 1:
-                end += 1
-            blocks = [b for b in SequenceMatcher(None, template, plain[start:end], autojunk=False).get_matching_blocks() if b.size]
-            if not blocks:
+        left = list(free)
+        for start in range(len(keys)):
+            if not left[start] or keys[start] not in rare or (start and left[start - 1] and keys[start] != template[0] and keys[start - 1] in rare):
                 continue
-            hi = blocks[-1].b + blocks[-1].size
+            lo = -1
+            while lo != start:  # words before the first that agrees are not of the notice
+                start = max(start, lo)
+                end = start
+                while end < len(keys) and left[end] and end - start < len(template) + int(most):
+                    end += 1
+                blocks = [b for b in SequenceMatcher(None, template, keys[start:end], autojunk=False).get_matching_blocks() if b.size]
+                lo = start + blocks[0].b
+            hi = start + blocks[-1].b + blocks[-1].size
             same = {b.a + i for b in blocks for i in range(b.size)}
-            inside = {b.b + i for b in blocks for i in range(b.size)}
+            inside = {start + b.b + i for b in blocks for i in range(b.size)}
             missing = [template[i] for i in range(len(template)) if i not in same]
-            extra = [plain[start + i] for i in range(hi) if i not in inside]
+            extra = [plain[i] for i in range(lo, hi) if i not in inside]
             if len(missing) + len(extra) <= most:
-                taken[start : start + hi] = [False] * hi
-                yield start, start + hi, " ".join(missing), " ".join(extra)
-
-
-def _first_after(places: list[tuple[int, int]], at: int) -> int:
-    """The word that holds the character ``at``."""
-    lo, hi = 0, len(places)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        lo, hi = (mid + 1, hi) if places[mid][1] <= at else (lo, mid)
-    return lo
+                left[lo:hi] = [False] * (hi - lo)
+                yield lo, hi, missing, extra
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
     """One row for each notice found: doc_id, nth (from 0), license, begin, end (characters), saved
     (bytes that the template saves on the block), missing, extra (differing words; both empty: exact).
 
-    Only texts with a mark word go to Python. Notices do not overlap. Defined results: null and empty
-    texts, and texts without a notice, have no row; equal savings are tried in the order of the names;
+    Only texts with a piece of a template go to Python. Notices do not overlap. Defined results: null and
+    empty texts, and texts without a notice, have no row; of equal claims the first name wins;
     repeated rows give repeated results; an empty table gives an empty table. Other columns are not read.
     """
     known = dict(templates or TEMPLATES)
@@ -148,6 +217,6 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
             rows = [(i, n, *hit) for i, text in zip(part["doc_id"], part["text"]) for n, hit in enumerate(scanner.scan(text))]
             yield pd.DataFrame(rows, columns=["doc_id", "nth", "license", "begin", "end", "saved", "missing", "extra"])
 
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike(MARK))
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike(mark(known)))
     kind = df.schema[id_col].dataType.simpleString()
     return texts.mapInPandas(run, f"doc_id {kind}, nth int, license string, begin bigint, end bigint, saved int, missing string, extra string")
