@@ -148,6 +148,37 @@ def test_kernel_tolerates_gaps():
     assert own > gap > 0.4 * own and other < 0.1 * own
 
 
+def test_features_hold_with_dropped_and_replaced_letters():
+    words = ["worthless", "pathetic", "stupid", "loser", "moron", "idiot"]
+    texts = ["wrthless", "pthetic", "stpid", "lser", "w*rthless", "p4thetic", "st*pid", "l0ser", "m0ron", "1diot", "sxtxuxpxixd"]
+    meant = ["worthless", "pathetic", "stupid", "loser", "worthless", "pathetic", "stupid", "loser", "moron", "idiot", "stupid"]
+    marks = toxicity.Landmarks(words)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    value = {(int(r), words[j]): float(v) for r, _, j, v in zip(*marks.features(data, offsets))}
+    for i, (text, word) in enumerate(zip(texts, meant)):
+        unit = np.array([[ord(c) for c in text if c.isalpha()]], np.uint32)
+        exact = float(toxicity.kernel(unit, marks.rows[words.index(word)])[0] / marks.own[words.index(word)])
+        assert value.get((i, word), 0) == pytest.approx(exact, abs=1e-5) and exact > 0.25
+
+
+def test_features_are_the_kernel_for_any_pieces(monkeypatch):
+    rng = random.Random(3)
+    marks = toxicity.Landmarks(["noon", "stupid", "loser"])
+    words = ["".join(rng.choice("nostupidler") for _ in range(rng.randint(2, 60))) for _ in range(200)]
+    data = np.frombuffer(". ".join(" ".join(words[i : i + 1 + i % 30]) for i in range(0, 200, 30)).encode(), np.uint8)
+    want = list(marks.sentences(data, np.array([0, len(data)])))
+    monkeypatch.setattr(toxicity, "AT_ONCE", 7)
+    got = list(toxicity.Landmarks(marks.words).sentences(data, np.array([0, len(data)])))
+    assert np.allclose(np.vstack([v for _, v in want]), np.vstack([v for _, v in got]))
+    units = np.zeros((len(words), toxicity.WIDTH), np.uint32)
+    for i, word in enumerate(words):
+        units[i, : len(word)] = [ord(c) for c in word[: toxicity.WIDTH]]
+    for j, row in enumerate(marks.rows):
+        exact = np.minimum(toxicity.kernel(units, row) / marks.own[j], 1)
+        assert np.allclose(marks._new(units)[:, j], np.where(exact > 0.02, exact, 0), atol=1e-4)
+
+
 def test_best_fit_is_the_tightest_compatible_bin():
     rng = random.Random(3)
     sizes = sorted((rng.randrange(1, 100) for _ in range(300)), reverse=True)

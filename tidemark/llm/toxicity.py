@@ -9,26 +9,31 @@ of its units as a share of the landmark's own; they are whitened by the landmark
 linear SVM with squared hinge loss is fitted on sentences. A text gives its worst
 sentence as the example, chosen anew after each fit, and scores as its worst sentence does.
 
-Only a unit that has every letter of a landmark can come near it, so all others get 0 for it: that
-test is one bit operation and leaves few units to the kernel.
+The kernel is above 0 only if a unit has three letters of a landmark (repeated ones counted as often as the
+landmark has them), so all others get 0 for it. It is a product of sparse vectors, which have a weight for each
+triple of letters: a unit's triples are looked up among those of all landmarks, once for each distinct unit. A
+task keeps the values of the units that it has seen, and a sentence takes the largest of its units' values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.flat import letters, text_slices
+from tidemark.llm.flat import _MULTIPLIER, letters, mix, text_slices
 from tidemark.llm.langid import hash_sample, held_out
 
 DECAY = 0.6
 WIDTH = 24  # letters of a unit that are compared at once; longer units are covered by overlapping windows
 LANDMARKS = 96
 TRAIN_ROWS = 8_000  # labelled texts to learn from, at most about so many
+SEEN = 50_000  # distinct units whose values a task keeps
+AT_ONCE = 1 << 16  # units whose values are gathered at once
 SENTENCES = 3  # of each such text: those that come nearest to the landmarks
 
 
@@ -54,11 +59,6 @@ def kernel(units: np.ndarray, landmark: np.ndarray, decay: float = DECAY) -> np.
     return out
 
 
-def _bits(chars: np.ndarray) -> np.ndarray:
-    low = (chars >= 97) & (chars < 123)
-    return np.uint64(1) << np.where(low, chars - 97, 26 + chars % 38).astype(np.uint64)
-
-
 def _as_row(word: str) -> np.ndarray:
     return np.array([ord(c) for c in word], np.uint32)
 
@@ -89,8 +89,32 @@ class Landmarks:
     def __init__(self, words: list[str]):
         self.words = words
         self.rows = [_as_row(w) for w in words]
-        self.masks = [np.bitwise_or.reduce(_bits(r)) for r in self.rows]
+        self.seen = np.zeros(0, np.uint64)
+        self.values = np.zeros((0, len(words)), np.float32)
         self.own = np.array([float(kernel(r[None, :], r)[0]) for r in self.rows])
+        self._triples()
+
+    def _triples(self) -> None:
+        """Numbers of the letters, pairs and triples of the landmarks (0: none has it), and for each triple
+        the landmarks that have it, with weights."""
+        weight: dict[tuple, dict[int, float]] = {}
+        for j, row in enumerate(self.rows):
+            for a, b, c in combinations(range(len(row)), 3):
+                mine = weight.setdefault((int(row[a]), int(row[b]), int(row[c])), {})
+                mine[j] = mine.get(j, 0.0) + DECAY ** (c - a + 1)
+        self.letters = np.unique(np.concatenate([np.zeros(1, np.uint32), *self.rows]))
+        number = {int(c): i for i, c in enumerate(self.letters)}
+        pairs = {p: i + 1 for i, p in enumerate(sorted({t[:2] for t in weight}))}
+        self.pair = np.zeros((len(number), len(number)), np.int32)
+        self.triple = np.zeros((len(pairs) + 1, len(number)), np.int32)
+        for (a, b), i in pairs.items():
+            self.pair[number[a], number[b]] = i
+        for i, t in enumerate(weight):
+            self.triple[pairs[t[:2]], number[t[2]]] = i + 1
+        owners = list(weight.values())
+        self.first = np.cumsum([0, 0, *map(len, owners)])
+        self.owner = np.array([j for mine in owners for j in mine], np.int64)
+        self.weight = np.array([w / self.own[j] for mine in owners for j, w in mine.items()], float)
 
     def white(self) -> np.ndarray:
         """Inverse square root of the normalized kernel matrix."""
@@ -102,39 +126,92 @@ class Landmarks:
         values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
         return (vectors / np.sqrt(np.maximum(values, 0) + 0.05)) @ vectors.T
 
-    def features(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Non-zero features of the sentences of a slice: row, sentence, landmark, value."""
+    def _new(self, units: np.ndarray) -> np.ndarray:
+        """Features of units (0: no letter), one row each."""
+        place = np.minimum(np.searchsorted(self.letters, units), len(self.letters) - 1)
+        known = np.where(self.letters[place] == units, place, 0).T.copy()
+        columns = [np.flatnonzero(c) for c in known]
+        parts = []
+        for i, at in enumerate(columns[:-2]):
+            for j in range(i + 1, len(columns) - 1):
+                pair = self.pair[known[i][at], known[j][at]]
+                some = np.flatnonzero(pair)
+                if not len(some):
+                    continue
+                rows, pair = at[some], pair[some]
+                for k in range(j + 1, len(columns)):
+                    if not len(columns[k]):
+                        continue
+                    triple = self.triple[pair, known[k][rows]]
+                    hit = np.flatnonzero(triple)
+                    parts.append((rows[hit], triple[hit], np.full(len(hit), DECAY ** (k - i + 1))))
+        if not parts:
+            return np.zeros((len(units), len(self.rows)), np.float32)
+        rows, triple, value = (np.concatenate(x) for x in zip(*parts))
+        many = self.first[triple + 1] - self.first[triple]
+        begin = np.repeat(self.first[triple] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        cells = np.repeat(rows, many) * len(self.rows) + self.owner[begin]
+        out = np.bincount(cells, np.repeat(value, many) * self.weight[begin], len(units) * len(self.rows))
+        out = np.minimum(out, 1).astype(np.float32).reshape(len(units), len(self.rows))
+        return np.where(out > 0.02, out, np.float32(0))
+
+    def _look_up(self, chars: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of distinct units, and which of them each unit is; units are told apart by 64-bit hashes."""
+        size = np.minimum(ends - at, WIDTH)
+        codes = size.astype(np.uint64)
+        for k in range(int(size.max())):
+            more = np.flatnonzero(size > k)
+            codes[more] = mix(codes[more] * _MULTIPLIER + chars[at[more] + k])
+        codes, first, which = np.unique(codes, return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.seen, codes), max(len(self.seen) - 1, 0))
+        known = self.seen[place] == codes if len(self.seen) else np.zeros(len(codes), bool)
+        values = np.zeros((len(codes), len(self.rows)), np.float32)
+        values[known] = self.values[place[known]]
+        fresh = np.flatnonzero(~known)
+        for some in np.array_split(fresh, -(-len(fresh) // (AT_ONCE // 4)) or 1):
+            places = at[first[some], None] + np.arange(WIDTH)
+            values[some] = self._new(np.where(places < ends[first[some], None], chars[np.minimum(places, len(chars) - 1)], 0))
+        if len(self.seen) + len(fresh) <= SEEN:
+            codes_now = np.concatenate([self.seen, codes[fresh]])
+            order = np.argsort(codes_now)
+            self.seen, self.values = codes_now[order], np.concatenate([self.values, values[fresh]])[order]
+        return values, which
+
+    def sentences(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and features of the sentences of a slice, in order, some at a time."""
         chars, begins, length, sentence, row = _units(data, offsets)
-        if not len(begins):
-            return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.float32),)
-        masks = np.bitwise_or.reduceat(_bits(chars), begins)
-        unit = np.arange(len(begins))
-        at = begins
+        if not len(begins) or not self.words:
+            return
+        unit, at = np.arange(len(begins)), begins
         if (length > WIDTH).any():  # windows that overlap by half, up to the end of the unit
             extra = np.where(length > WIDTH, -(-2 * (length - WIDTH) // WIDTH), 0)
             unit = np.repeat(unit, extra + 1)
             step = np.arange(len(unit)) - np.repeat(np.cumsum(extra + 1) - extra - 1, extra + 1)
             at = begins[unit] + step * (WIDTH // 2)
-        ends = (begins + length)[unit]
-        masks = masks[unit]
-        parts = []
-        for j, (landmark, mask) in enumerate(zip(self.rows, self.masks)):
-            near = np.flatnonzero((masks & mask) == mask)
-            if not len(near):
-                continue
-            wide = min(WIDTH, int((ends[near] - at[near]).max()))
-            places = at[near, None] + np.arange(wide)
-            strings = np.where(places < ends[near, None], chars[np.minimum(places, len(chars) - 1)], 0)
-            value = np.minimum(kernel(strings, landmark) / self.own[j], 1)
-            some = value > 0.02
-            parts.append((sentence[unit[near[some]]] * len(self.rows) + j, row[unit[near[some]]], value[some]))
+        ends, of = (begins + length)[unit], sentence[unit]
+        heads = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+        n = 0
+        while n < len(heads) - 1:
+            m = max(n + 1, int(np.searchsorted(heads, heads[n] + AT_ONCE, side="right")) - 1)
+            worst = np.zeros((m - n, len(self.rows)), np.float32)
+            for lo in range(heads[n], heads[m], AT_ONCE):  # more than once only for a single long sentence
+                hi = min(lo + AT_ONCE, heads[m])
+                values, which = self._look_up(chars, at[lo:hi], ends[lo:hi])
+                cuts = heads[n:m] - lo if m - n > 1 else np.zeros(1, np.int64)
+                worst = np.maximum(worst, np.maximum.reduceat(values[which], cuts))
+            yield row[unit[heads[n:m]]], worst
+            n = m
+
+    def features(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Non-zero features of the sentences of a slice: row, sentence (from 0), landmark, value."""
+        parts, count = [], 0
+        for rows, values in self.sentences(data, offsets):
+            i, j = np.nonzero(values)
+            parts.append((rows[i], i + count, j, values[i, j]))
+            count += len(rows)
         if not parts:
             return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.float32),)
-        key, rows, value = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((value, key))
-        last = np.flatnonzero(np.diff(key[order], append=-1))
-        best = order[last]
-        return rows[best], key[best] // len(self.rows), key[best] % len(self.rows), value[best]
+        return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 class Model:
@@ -144,13 +221,8 @@ class Model:
     def score(self, texts: pa.Array) -> np.ndarray:
         margin = np.full(len(texts), self.bias)
         for row, data, offsets in text_slices(texts):
-            if not self.landmarks.words:
-                break
-            rows, sentence, landmark, value = self.landmarks.features(data, offsets)
-            if len(rows):
-                heads = np.flatnonzero(np.diff(sentence, prepend=-1))
-                each = self.bias + np.add.reduceat(self.weights[landmark] * value, heads)
-                np.maximum.at(margin, row + rows[heads], each)
+            for rows, values in self.landmarks.sentences(data, offsets):
+                np.maximum.at(margin, row + rows, values @ self.weights + self.bias)
         return 1 / (1 + np.exp(np.clip(-2 * margin, -50, 50)))
 
 
@@ -217,13 +289,15 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found, toxic = [], []
             names = batch.column(1).to_pylist()
             for start, data, offsets in text_slices(batch.column(0)):
-                r, s, j, v = landmarks.features(data, offsets)
-                table = {}
-                for row, sentence, landmark, value in zip(r.tolist(), s.tolist(), j.tolist(), v.tolist()):
-                    table.setdefault(row, {}).setdefault(sentence, np.zeros(size))[landmark] = value
+                table: dict[int, np.ndarray] = {}
+                for rows_of, values in landmarks.sentences(data, offsets):
+                    heads = np.flatnonzero(np.diff(rows_of, prepend=-1)).tolist()
+                    for lo, hi in zip(heads, [*heads[1:], len(rows_of)]):
+                        row = int(rows_of[lo])
+                        mine = np.concatenate([table[row], values[lo:hi]]) if row in table else values[lo:hi]
+                        table[row] = mine[np.lexsort((*mine.T, -mine.sum(1), -mine.max(1)))[:SENTENCES]]
                 for row in range(len(offsets) - 1):
-                    mine = sorted(table.get(row, {}).values(), key=lambda x: -x.sum())[:SENTENCES] or [np.zeros(size)]
-                    found.append(np.concatenate(mine).tolist())
+                    found.append(table.get(row, np.zeros(size)).ravel().astype(float).tolist())
                     toxic.append(names[start + row])
             yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
 
@@ -236,8 +310,8 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = np.array([1.0 if toxic else -1.0 for toxic, _ in bags])
     white = landmarks.white()
     weights, bias = np.ones(size), 0.0
-    for _ in range(3):
-        worst = np.vstack([x[(x @ weights).argmax()] for _, x in bags])
+    for turn in range(3):
+        worst = np.vstack([x[(x @ weights).argmax() if turn else 0] for _, x in bags])
         w = _svm(worst @ white, y, cost)
         weights, bias = white @ w[:-1], float(w[-1])
     return Model(landmarks, weights, bias)
