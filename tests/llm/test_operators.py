@@ -148,6 +148,15 @@ def test_kernel_tolerates_gaps():
     assert own > gap > 0.4 * own and other < 0.1 * own
 
 
+def test_rare_insults_are_learned_from_all_labels(spark):
+    rng = random.Random(11)
+    plain = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(7)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(plain, k=12)) + (" you zworkelbrimt" if i % 100 == 1 else ""), int(i % 100 == 1)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    found = toxicity.score(docs, docs.select("doc_id", "toxic"), rows=200).join(docs.select("doc_id", "toxic"), "doc_id")
+    assert found.filter("predicted != toxic").count() == 0
+
+
 def test_features_hold_with_dropped_and_replaced_letters():
     words = ["worthless", "pathetic", "stupid", "loser", "moron", "idiot"]
     texts = ["wrthless", "pthetic", "stpid", "lser", "w*rthless", "p4thetic", "st*pid", "l0ser", "m0ron", "1diot", "sxtxuxpxixd"]

@@ -5,7 +5,7 @@ for each letter that the subsequence spans, so letters put in between lower it b
 Strings are the units of a sentence: the letters of a word (other characters are dropped, single
 letters in a row are joined). Landmarks are the letter runs that set labelled toxic texts apart most
 (signed likelihood ratio). The features of a sentence are, for each landmark, the largest kernel value
-of its units as a share of the landmark's own; they are whitened by the landmarks' kernel matrix and a
+of its units as a share of the landmark's own, to the power POWER; they are whitened by the landmarks' kernel matrix and a
 linear SVM with squared hinge loss is fitted on sentences. A text gives its worst
 sentence as the example, chosen anew after each fit, and scores as its worst sentence does.
 
@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.flat import _MULTIPLIER, letters, mix, text_slices
-from tidemark.llm.langid import hash_sample, held_out
+from tidemark.llm.langid import held_out
 
 DECAY = 0.6
 WIDTH = 24  # letters of a unit that are compared at once; longer units are covered by overlapping windows
+POWER = 4  # of the kernel (again a kernel): what only shares a few triples counts less
 LANDMARKS = 96
-TRAIN_ROWS = 8_000  # labelled texts to learn from, at most about so many
+TRAIN_ROWS = 8_000  # labelled texts to fit the weights on, at most about so many; landmarks come from all
 SEEN = 50_000  # distinct units whose values a task keeps
 AT_ONCE = 1 << 16  # units whose values are gathered at once
 SENTENCES = 3  # of each such text: those that come nearest to the landmarks
@@ -123,7 +124,7 @@ class Landmarks:
         for i, a in enumerate(self.rows):
             for j, b in enumerate(self.rows):
                 matrix[i, j] = kernel(a[None, :], b)[0] / np.sqrt(self.own[i] * self.own[j])
-        values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
+        values, vectors = np.linalg.eigh(((matrix + matrix.T) / 2) ** POWER)
         return (vectors / np.sqrt(np.maximum(values, 0) + 0.05)) @ vectors.T
 
     def _new(self, units: np.ndarray) -> np.ndarray:
@@ -222,47 +223,52 @@ class Model:
         margin = np.full(len(texts), self.bias)
         for row, data, offsets in text_slices(texts):
             for rows, values in self.landmarks.sentences(data, offsets):
-                np.maximum.at(margin, row + rows, values @ self.weights + self.bias)
+                np.maximum.at(margin, row + rows, values**POWER @ self.weights + self.bias)
         return 1 / (1 + np.exp(np.clip(-2 * margin, -50, 50)))
 
 
 def _landmark_words(texts: DataFrame, count: int) -> list[str]:
-    """Letter runs of 4 to 8 letters that are more frequent in toxic texts, the most significant first."""
+    """Letter runs of 4 to 8 letters that are more frequent in toxic texts, the most significant first. All
+    significant runs are gone through, so the many runs of one word do not take the places of others."""
     letters_only = F.lower(F.regexp_replace("text", r"[^\p{L}\s]", ""))
     words = texts.select("toxic", F.explode(F.array_distinct(F.split(letters_only, r"\s+"))).alias("word"))
-    words = words.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    words = words.filter(F.length("word") >= 4)
+    words = words.filter(F.length("word") >= 4).groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    words = words.persist()
+    totals = words.agg(F.sum("bad"), F.sum("good")).first()
+    if not totals[0] or not totals[1]:
+        words.unpersist()
+        return []
     starts = F.sequence(F.lit(1), F.length("word") - 3)
     runs = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
         F.sequence(F.lit(4), F.least(F.lit(8), F.length("word") - i + 1)), lambda n: F.substring("word", i, n)))))
     runs = words.select(F.explode(runs).alias("run"), "bad", "good").groupBy("run").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    totals = words.agg(F.sum("bad"), F.sum("good")).first()
-    if not totals[0] or not totals[1]:
-        return []
     rate = (F.col("bad") + F.col("good")) / float(sum(totals))
     part = lambda c, total: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / float(total) / rate)).otherwise(0.0)
     gain = F.round(part("bad", totals[0]) + part("good", totals[1]), 6).alias("gain")
     runs = runs.filter((F.col("bad") >= 2) & (F.col("bad") / float(totals[0]) > 2 * (F.col("bad") + F.col("good")) / float(sum(totals)))).persist()
     tested = max(2, runs.count())
     top = runs.select("run", gain).filter(F.col("gain") > float(np.log(tested)) + 3)  # else chance makes some of so many
+    found = top.orderBy(F.desc("gain"), F.desc(F.length("run")), "run")
     chosen: list[str] = []
-    found = top.orderBy(F.desc("gain"), F.desc(F.length("run")), "run").limit(20 * count).collect()
+    for row in found.toLocalIterator():
+        if len(chosen) == count:
+            break
+        if not any(_alike(row["run"], c) for c in chosen):
+            chosen.append(row["run"])
     runs.unpersist()
-    for run, _ in found:
-        if len(chosen) < count and not any(_common(run, c) >= min(len(run), len(c)) - 1 for c in chosen):
-            chosen.append(run)
+    words.unpersist()
     return chosen
 
 
-def _common(a: str, b: str) -> int:
-    """Length of the longest run that both strings have."""
-    return max((n for n in range(1, min(len(a), len(b)) + 1) if any(a[i : i + n] in b for i in range(len(a) - n + 1))), default=0)
+def _alike(a: str, b: str) -> bool:
+    """Whether the longer string has the shorter one but for its first or last letter."""
+    short, long = sorted((a, b), key=len)
+    return short[1:] in long or short[:-1] in long
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
-    """Weights and bias of a linear SVM with squared hinge loss (Newton steps)."""
+def _svm(x: np.ndarray, y: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """Weights and bias of a linear SVM with squared hinge loss (Newton steps); ``each`` is the cost of each row."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    each = np.full(len(y), cost / len(y))
     w, ridge = np.zeros(x.shape[1]), np.ones(x.shape[1])
     ridge[-1] = 1e-3
     for _ in range(30):
@@ -276,11 +282,18 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS, count: int = LANDMARKS, cost: float = 50_000.0) -> Model:
-    """Fit on the labelled rows that are not held out, about ``rows`` of them chosen by a hash of the id."""
+    """Fit on the labelled rows that are not held out: landmarks from all of them, weights from about ``rows``, half
+    of them toxic if there are so many, chosen by a hash of the id and weighted by the rows that they stand for."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = hash_sample(known.filter(~held_out(id_col, 5, 0)), id_col, rows, 5)
+    known = known.filter(~held_out(id_col, 5, 0))
+    bad, good = known.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
+    keep_bad = min(1.0, max(rows // 2, rows - good) / max(bad, 1))
+    keep_good = min(1.0, max(rows // 2, rows - bad) / max(good, 1))
+    share = F.when(F.col("toxic") > 0, keep_bad).otherwise(keep_good)
+    known = known.withColumn("sampled", F.pmod(F.xxhash64(F.lit(5), F.col(id_col)), F.lit(1 << 30)) < share * (1 << 30))
     texts = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.join(F.broadcast(known), F.col("_id") == F.col(id_col)).select("text", "toxic").groupBy("text").agg(F.max("toxic").alias("toxic")).persist()
+    texts = texts.join(known, F.col("_id") == F.col(id_col)).select("text", "toxic", "sampled")
+    texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"), F.max("sampled").alias("sampled")).persist()
     landmarks = Landmarks(_landmark_words(texts, count))
     size = len(landmarks.words)
 
@@ -297,22 +310,24 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                         mine = np.concatenate([table[row], values[lo:hi]]) if row in table else values[lo:hi]
                         table[row] = mine[np.lexsort((*mine.T, -mine.sum(1), -mine.max(1)))[:SENTENCES]]
                 for row in range(len(offsets) - 1):
-                    found.append(table.get(row, np.zeros(size)).ravel().astype(float).tolist())
+                    found.append((table.get(row, np.zeros(size)) ** POWER).ravel().astype(float).tolist())
                     toxic.append(names[start + row])
             yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
 
     if not size:
         texts.unpersist()
         return Model(landmarks, np.zeros(0), -1.0)
-    examples = texts.select("text", "toxic").mapInArrow(nearest, "toxic int, x array<double>").collect()
+    examples = texts.filter("sampled").select("text", "toxic").mapInArrow(nearest, "toxic int, x array<double>").collect()
     texts.unpersist()
     bags = [(e["toxic"], np.array(e["x"]).reshape(-1, size)) for e in sorted(examples, key=lambda e: (e["toxic"], e["x"]))]
     y = np.array([1.0 if toxic else -1.0 for toxic, _ in bags])
+    each = np.where(y > 0, 1 / keep_bad, 1 / keep_good)
+    each *= cost / each.sum()
     white = landmarks.white()
     weights, bias = np.ones(size), 0.0
     for turn in range(3):
         worst = np.vstack([x[(x @ weights).argmax() if turn else 0] for _, x in bags])
-        w = _svm(worst @ white, y, cost)
+        w = _svm(worst @ white, y, each)
         weights, bias = white @ w[:-1], float(w[-1])
     return Model(landmarks, weights, bias)
 
