@@ -132,6 +132,13 @@ def test_embedding_links_by_brute_force(spark, folder):
     assert found >= 0.9 * total
 
 
+def test_embedding_search_below_its_recall_fails(spark, monkeypatch):
+    vectors = spark.createDataFrame([(i, [1.0, float(i % 3), 0.5], 0) for i in range(6)], "vec_id bigint, embedding array<float>, label bigint")
+    monkeypatch.setattr(embed_dedup, "_audit", lambda *_: (0.5, None))
+    with pytest.raises(RuntimeError, match="recall of 0.500 after 32 hash tables"):
+        embed_dedup.near_duplicates(vectors)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")

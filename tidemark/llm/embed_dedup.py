@@ -5,7 +5,8 @@ random projections; blocks of bounded size are compared in full) and is refined
 neighbours: the vectors that meet at a common neighbour are compared, and each keeps its nearest. Only
 neighbours closer than ``LOOSE`` are kept, since others do not lead to links. A list that is full of
 links is saturated: it is enlarged to all of its component, compared in tiles. An audit
-compares a bounded sample of vectors with all vectors; if too many links are missing, more tables follow.
+compares a bounded sample of vectors with all vectors; if too many links are missing, more tables follow,
+and if they are still missing after the last, the search fails.
 """
 
 from __future__ import annotations
@@ -236,6 +237,8 @@ def near_duplicates(
         recall, checked = _audit(classes, links, tiled, least)
         if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"near_duplicates: the audit finds a recall of {recall:.3f} after {seed} hash tables, below {RECALL}")
     if recall < 1:
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(checked))
     numbers = classes.select("node", "number")
