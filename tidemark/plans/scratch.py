@@ -36,13 +36,23 @@ def _application_folder(spark: SparkSession) -> str:
 def drop_written(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application. Call it when no table derived from them is
     needed any more; nothing calls it on its own."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, _application_folder(spark))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as parquet into the shared folder and return the table that was written."""
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` as parquet into the shared folder; the table that was written, and its path."""
     spark = df.sparkSession
     path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet into the shared folder and return the table that was written."""
+    return written_at(df)[0]
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete one table of ``written_at`` when nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
