@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, embed_dedup, langid, licenses, minhash, mixing, packing, sharding, topk, toxicity
+from tidemark.llm import centroids, chat, divergence, embed_dedup, langid, licenses, minhash, mixing, packing, rules, sharding, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +82,24 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
+
+
+@query
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+SQL["op11_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+SQL["op12_centroids"] = centroids.ORACLE
+
+
+@query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
