@@ -1,5 +1,7 @@
 """Model jobs against closed forms and direct computation."""
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -12,7 +14,7 @@ from tidemark.models import linear as L
 from tidemark.models import trees as T
 from tidemark.models.blends import fit_two_stage, mean_of, two_stage_predict
 from tidemark.models.prepare import matrix, predict_with
-from tidemark.models.registry import MODELS, load_model, load_saved, save_model
+from tidemark.models.registry import MODELS, load_bundle, load_model, load_saved, save_bundle, save_model
 from tidemark.plans.scratch import written
 from tidemark.operators.metrics import regression_metrics
 
@@ -71,9 +73,11 @@ def test_forest_importances_and_selection(data):
     model = T.fit_forest(data.train, "y", T.Forest(trees=10, depth=4))
     table = T.importances(model, data.names, data.table).toPandas()
     assert table["importance"].sum() == pytest.approx(1) and table["feature"][0] in ("a", "b")
-    kept = T.important_positions(model, share=0.1)
-    assert 2 not in kept
-    assert T.important_positions(model, share=2.0, fallback=2) == T.important_positions(model, share=0.0)[:2]
+    counts = {r["feature"]: r["splits"] for r in T.split_counts(model, data.names, data.table.sparkSession).collect()}
+    kept = T.important_positions(model, data.names, data.table, splits=counts["c"])
+    assert 2 not in kept and kept
+    many = T.important_positions(model, data.names, data.table, splits=10**6, fallback=2)
+    assert many == T.important_positions(model, data.names, data.table, splits=-1)[:2]
     sliced = T.keep_features(data.train, kept).select(vector_to_array("features").alias("v")).first()
     assert len(sliced.v) == len(kept)
 
@@ -85,6 +89,25 @@ def test_saved_model_predicts_the_same(spark, data, tmp_path):
     assert both.filter(F.col("predicted") != F.col("again")).count() == 0
 
 
+def test_bundle_is_loaded_by_name_and_only_when_finished(spark, data, tmp_path):
+    fitted = {"forest": T.fit_forest(data.train, "y", T.Forest(trees=5, depth=4)), "line": L.fit_ols(data.train, "y")}
+    path = str(tmp_path / "b")
+    with pytest.raises(FileNotFoundError):
+        load_bundle(spark, path)
+    save_bundle(spark, fitted, path, data.names)
+    bundle = load_bundle(spark, path)
+    assert set(bundle.kinds) == set(fitted) and bundle.features == data.names
+    for name, model in fitted.items():
+        both = predict_with(bundle.model(name), predict_with(model, data.part("test")), "again")
+        assert both.filter(F.col("predicted") != F.col("again")).count() == 0
+    with pytest.raises(KeyError):
+        bundle.model("other")
+    with pytest.raises(Exception, match="exists"):
+        save_bundle(spark, fitted, path, data.names)
+    with pytest.raises(ValueError):
+        save_bundle(spark, {"../x": fitted["line"]}, path, data.names)
+
+
 def test_mean_of_models(data):
     models = [T.fit_forest(data.train, "y", T.Forest(trees=3, depth=d)) for d in (2, 3, 4)]
     mean = mean_of(models, data.part("test")).orderBy("id").toPandas()["predicted"]
@@ -143,6 +166,32 @@ def test_clusters(vectors, pdf):
     assert costs[0] == pytest.approx((z**2).sum()) and costs.is_monotonic_decreasing
 
 
+def test_all_numbers_of_clusters_together(vectors, pdf):
+    z = pdf[NAMES].to_numpy()
+    z = (z - z.mean(0)) / z.std(0)
+    centres, costs = K.fit_together(vectors, range(1, 100))
+    gaps = {k: ((z[:, None, :] - c[None]) ** 2).sum(2) for k, c in centres.items()}
+    assert sorted(costs) == list(range(1, 100)) and all(len(c) == k for k, c in centres.items())
+    for k in costs:
+        assert costs[k] == pytest.approx(gaps[k].min(1).sum(), abs=1e-6)
+        assert k == 1 or costs[k] <= costs[k - 1]
+    # the centres have settled: each is the mean of its rows
+    near = gaps[7].argmin(1)
+    for j, centre in enumerate(centres[7]):
+        np.testing.assert_allclose(centre, z[near == j].mean(0), atol=1e-3)
+    labels = K.with_nearest(vectors, centres[7]).orderBy("id").toPandas()["cluster"].to_numpy()
+    assert (labels == near).all()
+
+
+def test_fewer_points_than_clusters(spark):
+    df = spark.createDataFrame([(float(i % 3), 0.5 * (i % 3)) for i in range(12)], "a double, b double")
+    centres, costs = K.fit_together(K.scaled_vectors(df, ["a", "b"]), [1, 3, 5, 8])
+    assert [len(centres[k]) for k in (1, 3, 5, 8)] == [1, 3, 3, 3]
+    assert costs[3] == pytest.approx(0, abs=1e-9) and costs[8] <= costs[5] <= costs[3] < costs[1]
+    with pytest.raises(ValueError):
+        K.fit_together(K.scaled_vectors(df, ["a", "b"]).filter("a > 9"), [1, 2])
+
+
 def test_components(vectors, pdf):
     z = pdf[NAMES].to_numpy()
     z = (z - z.mean(0)) / z.std(0)
@@ -157,7 +206,7 @@ def test_registry(spark, folder):
     assert len(MODELS) == 9 and all(entry.short_description for entry in MODELS.values())
     with pytest.raises(KeyError):
         load_model("unknown")
-    small = load_model("aqi_forest").predict(tables, SETTINGS)
+    small = load_model("aqi_forest").predict(tables, replace(SETTINGS, forest=T.Forest(trees=10, depth=4)))
     assert small.columns == ["site", "date", "observed", "predicted"]
     row = regression_metrics(small, "observed", "predicted").first()
     assert row.n > 0 and np.isfinite(row.rmse)

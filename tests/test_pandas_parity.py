@@ -240,3 +240,15 @@ def test_relative_split(spark, end, sizes):
     assert (got["train"], got["val"], got["test"]) == want
     if sizes:
         assert want == sizes
+
+
+def test_keyed_noise_is_the_same_under_any_layout(spark):
+    df = spark.range(4000).select((F.col("id") % 7).alias("site"), F.col("id").alias("day"))
+    noisy = lambda d: {(r.site, r.day): (r.u, r.n) for r in d.select("site", "day", S.uniform_noise(["site", "day"], 1).alias("u"), S.normal_noise(["site", "day"], 1).alias("n")).collect()}
+    first = noisy(df.coalesce(1))
+    assert first == noisy(df.repartition(13, "day").orderBy(F.desc("day")))
+    u, n = np.array(list(first.values())).T
+    assert 0 <= u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.02 and abs(u.std() - 12**-0.5) < 0.01
+    assert abs(n.mean()) < 0.05 and abs(n.std() - 1) < 0.05
+    other = {r.day: r.u for r in df.select("day", S.uniform_noise(["site", "day"], 2).alias("u")).collect()}
+    assert abs(np.corrcoef(u, [other[d] for _, d in first])[0, 1]) < 0.06

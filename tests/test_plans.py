@@ -34,12 +34,28 @@ def test_no_cross_join(spark, folder, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["join_three_way", "join_fold"])
+def test_orders_are_scanned_once_at_most(spark, folder, name):
+    plan = QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_totalprice") <= 2 * plan.count("Relation") and plan.count("Relation [o_orderkey") <= 1
+
+
 def test_date_bound_reaches_the_scan(spark, folder):
     plan = plan_of(QUERIES["date_range_filter"](spark, folder))
     assert "GreaterThanOrEqual(o_orderdate" in plan
     assert "o_custkey" not in plan
 
 
+def test_bounds_on_doubles_reach_the_scan(spark, folder, tmp_path):
+    cut = read_table(spark, folder, "lineitem", within={"l_quantity": (None, 3), "l_discount": (0.02, None)})
+    filters = plan_of(cut.select("l_orderkey")).split("PushedFilters: ")[1]
+    assert "LessThanOrEqual(l_quantity,3.0)" in filters and "GreaterThanOrEqua" in filters
+    assert cut.count() == read_table(spark, folder, "lineitem").filter("l_quantity <= 3 and l_discount >= 0.02").count() > 0
+    spark.createDataFrame([(1.0,), (float("nan"),), (None,), (9.0,)], "x double").write.parquet(str(tmp_path / "t.parquet"))
+    for bounds, want in (((None, None), [1, 9]), ((2, None), [9]), ((None, 2), [1]), ((1, 9), [1, 9])):
+        assert sorted(r.x for r in read_table(spark, str(tmp_path), "t", within={"x": bounds}).collect()) == want
+
+
 def test_only_needed_columns_are_read(spark, folder):
     plan = plan_of(QUERIES["group_mean"](spark, folder))
     assert "ReadSchema: struct<l_quantity:double,l_discount:double,l_shipdate:timestamp_ntz>" in plan

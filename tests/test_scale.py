@@ -142,7 +142,7 @@ def test_lowess_against_direct_fit(spark):
     x = np.concatenate([rng.normal(size=150), np.zeros(100)]).round(2)
     y = x**2 + rng.normal(size=250)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
-    got = K.lowess(df, "x", "y", 0.5, 9).orderBy("point").toPandas()
+    got = K.lowess(df, "x", "y", 0.5, 9, robust=0).orderBy("point").toPandas()
     k = int(np.ceil(0.5 * len(x)))
     for point, at, fitted in got.itertuples(index=False):
         d = np.abs(x - at)
@@ -154,6 +154,92 @@ def test_lowess_against_direct_fit(spark):
             assert fitted == pytest.approx(want, abs=1e-6), point
 
 
+def _robust_curve(x, y, fraction, points, rounds):
+    grid = np.linspace(x.min(), x.max(), points)
+    k = max(int(np.ceil(fraction * len(x))), 2)
+    trust = np.ones_like(y)
+    for turn in range(rounds + 1):
+        fitted = []
+        for at in grid:
+            d = x - at
+            h = np.sort(np.abs(d))[k - 1]
+            w = np.clip(1 - (np.abs(d) / h) ** 3, 0, None) ** 3 * trust
+            a = np.vstack([np.ones_like(x), d]).T * np.sqrt(w)[:, None]
+            fitted.append(np.linalg.lstsq(a, y * np.sqrt(w), rcond=None)[0][0])
+        gap = np.abs(y - np.interp(x, grid, fitted))
+        trust = np.clip(1 - (gap / (6 * np.median(gap))) ** 2, 0, None) ** 2
+    return np.array(fitted)
+
+
+def test_robust_lowess_against_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = rng.uniform(-2, 3, 400)
+    y = np.sin(2 * x) + rng.normal(size=400) * 0.2
+    table = lambda y: spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    curve = K.lowess(table(y), "x", "y", points=12).orderBy("point").toPandas()["fitted"].to_numpy()
+    np.testing.assert_allclose(curve, _robust_curve(x, y, 2 / 3, 12, 3), atol=1e-9)
+    moved = y.copy()
+    moved[np.argsort(x)[200]] += 1e4
+    after = K.lowess(table(moved), "x", "y", points=12).orderBy("point").toPandas()["fitted"].to_numpy()
+    assert np.abs(after - curve).max() < 0.02
+    assert np.abs(_robust_curve(x, moved, 2 / 3, 12, 0) - curve).max() > 10  # without robust rounds it moves
+
+
+def test_robust_lowess_edges(spark):
+    table = lambda rows: spark.createDataFrame(rows, "x double, y double")
+    assert K.lowess(table([]), "x", "y").count() == 0
+    assert {r["fitted"] for r in K.lowess(table([(1.0, 2.0)] * 5 + [(None, 1.0)]), "x", "y", points=3).collect()} == {2.0}
+    line = K.lowess(table([(float(i), 3.0 * i) for i in range(30)] + [(10.0, 99.0)]), "x", "y", points=7).collect()
+    assert all(abs(r["fitted"] - 3 * r["x"]) < 1e-6 for r in line)
+
+
+def test_correlations_by_products(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame(rng.normal(size=(500, 4)), columns=list("abcd")).assign(b=lambda t: 1e6 + t["a"] * 0.5 + t["b"], k=0.1)
+    holes = pdf.mask(rng.random(pdf.shape) < 0.2).assign(never=np.nan)
+    df = spark.createDataFrame(holes.astype(object).where(holes.notna(), None).values.tolist(), ", ".join(f"{c} double" for c in holes.columns))
+    got = G.pearson(df.repartition(7), list(holes.columns)).toPandas().pivot(index="var_a", columns="var_b")
+    want = holes.corr(min_periods=2)
+    order = list(holes.columns)
+    for a in "abcd":
+        np.testing.assert_allclose(got["r"].loc[a, list("abcd")], want.loc[a, list("abcd")], atol=1e-9)
+    assert got["r"].loc["k"].drop("k").isna().all() and got["r"].loc["never"].drop("never").isna().all()
+    present = holes.notna().astype(int)
+    assert (got["n"].loc[order, order].to_numpy() == (present.T @ present).to_numpy()).all()
+    assert G.pearson(df.filter("false"), ["a", "b"]).filter("var_a <> var_b and r is null and n = 0").count() == 2
+
+
+def test_ranks_in_place(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"id": range(900), "a": rng.integers(0, 5, 900).astype(float), "b": rng.normal(size=900), "c": 1.0})
+    df = spark.createDataFrame(pdf).repartition(6)
+    got = G.with_ranks(df, ["a", "b", "c"], ["id"]).toPandas().set_index("id").sort_index()
+    pd.testing.assert_frame_equal(got, pdf.set_index("id").rank(), check_names=False)
+    plan = G.with_ranks(df, ["a", "b", "c"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # values too many to be broadcast: the rows move once for each column
+        large = G.with_ranks(df, ["a", "b", "c"], ["id"])
+        assert large.orderBy("id").toPandas()["b"].tolist() == got["b"].tolist()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_correlations_do_not_multiply_rows(spark, folder, tmp_path):
+    """The plan behind the products has neither a row per pair nor a shuffle of rows."""
+    values = spark.range(1000).select(*[(F.rand(i) * 10).alias(f"c{i}") for i in range(30)])
+    values.write.parquet(str(tmp_path / "v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("products", "products")
+    try:
+        G.pearson(spark.read.parquet(str(tmp_path / "v")), values.columns)
+        stages = [s for j in tracker.getJobIdsForGroup("products") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(set(stages)) <= 8
+
+
 def test_density_has_unit_mass(spark):
     df = spark.createDataFrame([(float(v),) for v in np.random.default_rng(1).normal(size=500)], "x double")
     curve = K.kernel_density(df, "x", 200).orderBy("x").toPandas()

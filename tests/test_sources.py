@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidemark.functions import names as N
 from tidemark.operators import clean as C
 from tidemark.operators import splits as P
+from tidemark.plans import scratch
 from tidemark.sources import readers as R
 from tidemark.sources import sinks as K
 
@@ -35,6 +36,15 @@ def test_preambles_of_several_split_files(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("2019", 15, 15), ("2020-01-01", 3000, 2999 * 3000 // 2)]
 
 
+def test_preamble_lines_are_not_copied(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("h\n\n\nx\n" + "".join(f"{i}\n" for i in range(50)))
+    monkeypatch.setattr(scratch, "written_at", None)
+    df = R.read_csv_after_preamble(spark, str(tmp_path), T.StructType.fromDDL("x int"))
+    assert df.agg(F.sum("x"), F.count("*")).first() == (1225, 50)
+    scans = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in line]
+    assert len(scans) == 2 and all(str(tmp_path) in f for f in df.inputFiles())
+
+
 def test_plain_csv_with_odd_names(spark, tmp_path):
     (tmp_path / "p.csv").write_text("date,PM2.5,O3\n2020-01-01,3.5,x\n2020-01-02,,2\n")
     df = R.read_csv(spark, str(tmp_path / "p.csv"), "date string, `PM2.5` double, O3 double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import big, daily_sql, query, r, rounded
+from tidemark.catalog.base import QUERIES, SQL, big, daily_sql, query, r, rounded
 from tidemark.functions.scalars import flag
 from tidemark.operators import labels as L
 from tidemark.operators import splits as P
@@ -557,22 +557,23 @@ def pollen_features_past_only(spark: SparkSession, folder: str) -> DataFrame:
 TWO_STAGE_KS = [*X.LONG_LAGS, 365]
 
 
-def two_stage_table(spark: SparkSession, folder: str, year_lag: bool = True) -> DataFrame:
-    """Z-spike labels come from the ratio, so the ratio is no feature later on."""
+def two_stage_table(spark: SparkSession, folder: str, year_lag: bool = True, causal: bool = False) -> DataFrame:
+    """Z-spike labels come from the ratio, so the ratio is no feature later on. ``causal``: a table with
+    missing values, filled forward."""
     source = daily.all_three(spark, folder).select(*KEYS, "total", *POLLEN.weather)
     columns = X.Columns(keys=("site",), pollutants=())
-    built = X.pollen_two_stage(source, columns, year_lag)
+    built = X.pollen_two_stage(with_gaps(source) if causal else source, columns, year_lag, causal)
     return X.with_z_spike(P.split_by_year(built, 2000, val_year=1999), columns)
 
 
-@query(
-    "pollen_features_two_stage",
-    daily_sql(
+def two_stage_sql(source: str, sources: str, *tables: str) -> str:
+    return daily_sql(
         "SELECT b.* REPLACE (round(ratio_1d_7d, 6) AS ratio_1d_7d), round((ratio_1d_7d - m) / (s + 1e-8), 6) AS spike_z, "
         "CAST(coalesce((ratio_1d_7d - m) / (s + 1e-8) > 1.64, false) AS INTEGER) AS is_spike, round(asinh(total), 6) AS target_asinh "
         "FROM built b JOIN (SELECT site, avg(ratio_1d_7d) AS m, stddev_pop(ratio_1d_7d) AS s FROM built WHERE split = 'train' "
         "GROUP BY site) USING (site)",
-        "built AS (SELECT * FROM (SELECT site, date, total, temp, wind, rain, CASE WHEN year(date) >= 2000 THEN 'test' "
+        *tables,
+        f"built AS (SELECT * FROM (SELECT site, date, {sources}, CASE WHEN year(date) >= 2000 THEN 'test' "
         "WHEN year(date) = 1999 THEN 'val' ELSE 'train' END AS split, dayofyear(date) AS day_of_year, month(date) AS month, "
         "isodow(date) - 1 AS weekday, "
         + ", ".join(s_season(365.25, weekday=True))
@@ -592,15 +593,35 @@ def two_stage_table(spark: SparkSession, folder: str, year_lag: bool = True) ->
             + ", ".join(s_round(s_roll(c, n, False), f"{c}_yesterday_{n}day") for n in (3, 7))
             for c in POLLEN.weather
         )
-        + " FROM all_three) WHERE pollen_30day IS NOT NULL)",
-    ),
-)
-def pollen_features_two_stage(spark: SparkSession, folder: str) -> DataFrame:
-    df = two_stage_table(spark, folder)
+        + f" FROM {source}) WHERE pollen_30day IS NOT NULL)",
+    )
+
+
+def tidy_two_stage(df: DataFrame) -> DataFrame:
     exact = ["total", "temp", "wind", "rain"]
     return big(rounded_doubles(df, exact), "day_of_year", "month", "weekday")
 
 
+@query("pollen_features_two_stage", two_stage_sql("all_three", "total, temp, wind, rain"))
+def pollen_features_two_stage(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy_two_stage(two_stage_table(spark, folder))
+
+
+FILLED_FORWARD = ", ".join(
+    f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY site ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS {c}"
+    for c in ("total", "temp", "wind", "rain")
+)
+
+
+@query(
+    "pollen_features_two_stage_causal",
+    two_stage_sql("gap4", FILLED_FORWARD, f"gap4 AS ({sql_gaps('all_three', 'site date total temp wind rain')})"),
+)
+def pollen_features_two_stage_causal(spark: SparkSession, folder: str) -> DataFrame:
+    """The same set on a table with missing values, each gap filled by the last known value."""
+    return tidy_two_stage(two_stage_table(spark, folder, causal=True))
+
+
 @query(
     "feature_describe",
     daily_sql(
@@ -617,3 +638,18 @@ def feature_describe(spark: SparkSession, folder: str) -> DataFrame:
     built = daily.stored(aqi_table(spark, folder).select("aqi_lag2", "aqi_roll7"))
     summary = describe(built, ["aqi_lag2", "aqi_roll7"])
     return summary.select("variable", F.col("count").alias("n"), r("mean", "mean"), r("q50", "q50"))
+
+
+@query(
+    "feature_describe_all",
+    "WITH f AS (" + SQL["aqi_features"] + """)
+SELECT variable, count(value) AS n, round(avg(value), 5) AS mean, round(stddev_samp(value), 5) AS std, round(min(value), 5) AS min,
+  round(quantile_cont(value, 0.25), 5) AS q25, round(quantile_cont(value, 0.5), 5) AS q50, round(quantile_cont(value, 0.75), 5) AS q75,
+  round(max(value), 5) AS max
+FROM (UNPIVOT (SELECT COLUMNS(* EXCLUDE (site, date, split))::DOUBLE FROM f) ON COLUMNS(*) INTO NAME variable VALUE value) GROUP BY variable""",
+)
+def feature_describe_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Summary of every column of the air quality feature table."""
+    built = daily.stored(QUERIES["aqi_features"](spark, folder).drop("site", "date", "split"))
+    summary = describe(built, built.columns)
+    return summary.select("variable", F.col("count").alias("n"), *[r(c, c, 5) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])

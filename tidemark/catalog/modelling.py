@@ -1,4 +1,8 @@
-"""Model jobs. Sizes are small so that a run stays short; the library defaults are the full sizes."""
+"""Model jobs. Boosted models stop by patience on the validation rows.
+
+The library defaults are the published sizes; ``quick`` gives larger steps, fewer rounds and trees, so that
+a run of all queries stays short.
+"""
 
 from __future__ import annotations
 
@@ -15,25 +19,35 @@ from tidemark.models import clusters as K
 from tidemark.models import linear as L
 from tidemark.models import trees as T
 from tidemark.models.blends import fit_two_stage, mean_of, two_stage_predict
+from tidemark.models.boosting import at_once
 from tidemark.models.prepare import Matrix, matrix, predict_with
-from tidemark.models.registry import MODELS, Settings, load_model, load_saved, save_model, selected_fit
+from tidemark.models.registry import (
+    MODELS, Settings, air_fits, load_bundle, load_model, load_saved, save_bundle, save_model, selected_fit, with_stop,
+)
+from tidemark.models.tuning import halving
 from tidemark.operators import metrics as E
 from tidemark.operators import splits as P
 from tidemark.operators import stats as G
 from tidemark.operators.ordering import top_k
+from tidemark.operators.smooth import knee_point
 from tidemark.plans import features as X
 from tidemark.plans.scalar_stats import constants
 from tidemark.plans.scratch import written
 from tidemark.sources import daily
 
 KEYS = ["site", "date"]
-FOREST = T.Forest(trees=20, depth=5)
-BOOST = T.Boosting(rounds=10, depth=4, step=0.1)
-SETTINGS = Settings(
-    keys=("site",), test_from=2000, val_year=1999, forest=FOREST, depth_wise=BOOST,
-    leaf_wise=replace(BOOST, depth=5, subset="0.8"), log_forest=replace(FOREST, min_leaf=4, subset="all"),
-    past_boosting=BOOST, log_boosting=BOOST, mixture=BOOST, classifier=FOREST,
-)
+
+
+def quick(how: T.Boosting) -> T.Boosting:
+    return replace(how, rounds=40, step=0.2, patience=5)
+
+
+FOREST = T.Forest(trees=60, depth=8)
+PUBLISHED = Settings(keys=("site",), test_from=2000, val_year=1999)
+SETTINGS = replace(
+    PUBLISHED, forest=FOREST, log_forest=replace(T.LOG_FOREST, trees=60, depth=12),
+    **{name: quick(getattr(PUBLISHED, name)) for name in ("depth_wise", "leaf_wise", "past_boosting", "log_boosting", "mixture", "spikes", "levels")},
+)
 SCORES = ["mae", "mse", "rmse", "r2"]
 WEATHER = ["temp", "rain", "apparent", "gust", "wind", "wind_dir"]
 
@@ -163,17 +177,31 @@ def rf_log_target(spark: SparkSession, folder: str) -> DataFrame:
 def gbt_regressor(spark: SparkSession, folder: str) -> DataFrame:
     """Boosting that stops on the validation year."""
     data = air_data(spark, folder)
-    rows = T.with_validation_flag(data.part("train", "val"))
-    fitted = T.fit_boosted(rows, "aqi", replace(BOOST, stop_on="is_validation"))
-    return scored(predict_with(fitted, data.part("test")), "aqi", "predicted")
+    rows, how = with_stop(data, SETTINGS.depth_wise)
+    return scored(predict_with(T.fit_boosted(rows, "aqi", how), data.part("test")), "aqi", "predicted")
 
 
 @query("gbt_leaf_wise")
 def gbt_leaf_wise(spark: SparkSession, folder: str) -> DataFrame:
     """About 31 leaves per tree: depth 5, smaller steps."""
     data = air_data(spark, folder)
-    fitted = T.fit_boosted(data.part("train", "val"), "aqi", SETTINGS.leaf_wise)
-    return scored(predict_with(fitted, data.part("test")), "aqi", "predicted")
+    rows, how = with_stop(data, SETTINGS.leaf_wise)
+    return scored(predict_with(T.fit_boosted(rows, "aqi", how), data.part("test")), "aqi", "predicted")
+
+
+@query("early_stop_curve")
+def early_stop_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Validation loss after every round that was tried, and the rounds that were kept: a regressor by the
+    root mean square error, a spike classifier by 1 - area under the ROC curve."""
+    air, spikes = air_data(spark, folder), spike_data(spark, folder)
+    rows, how = with_stop(air, SETTINGS.depth_wise)
+    spike_rows, spike_how = with_stop(spikes, SETTINGS.spikes)
+    fits = at_once([
+        lambda: T.staged_fit(rows, "aqi", how),
+        lambda: T.staged_fit(spike_rows, "is_spike", spike_how, loss="auc"),
+    ])
+    curves = [fit.curve(rows).withColumn("fit", F.lit(name)) for name, fit in zip(("aqi_rmse", "spike_auc"), fits)]
+    return P.union_splits(*curves)
 
 
 def log_data(spark: SparkSession, folder: str) -> Matrix:
@@ -185,24 +213,34 @@ def log_data(spark: SparkSession, folder: str) -> Matrix:
 @query("gbt_weighted")
 def gbt_weighted(spark: SparkSession, folder: str) -> DataFrame:
     data = log_data(spark, folder)
-    fitted = T.fit_boosted(data.train, "log_total", BOOST, "weight")
+    rows, how = with_stop(data, SETTINGS.log_boosting)
+    fitted = T.fit_boosted(rows, "log_total", how, "weight")
     table = predict_with(fitted, data.part("test")).withColumn("predicted", F.expm1("predicted"))
     return scored(table, "total", "predicted")
 
 
 @query("importance_select")
 def importance_select(spark: SparkSession, folder: str) -> DataFrame:
-    """Features kept by importance in a first weighted fit, and the metrics of the second fit."""
+    """Features that split often in a first weighted fit, and the metrics of the second fit."""
     data = log_data(spark, folder)
-    kept, fitted = selected_fit(data.train, "log_total", BOOST, "weight")
+    kept, fitted = selected_fit(data, SETTINGS.log_boosting, "weight")
     table = predict_with(fitted, T.keep_features(data.part("test"), kept)).withColumn("predicted", F.expm1("predicted"))
     names = F.array(*[F.lit(data.names[i]) for i in sorted(kept)])
     return E.regression_metrics(table, "total", "predicted").withColumn("kept", F.array_join(names, ","))
 
 
+@query("split_counts")
+def split_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many nodes each feature splits in the trees of a weighted fit."""
+    data = log_data(spark, folder)
+    rows, how = with_stop(data, SETTINGS.log_boosting)
+    fitted = T.fit_boosted(rows, "log_total", how, "weight")
+    return T.split_counts(fitted, data.names, spark).select("feature", "splits")
+
+
 @query("level_classifier")
 def level_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Class-weighted classifiers for three pollen types: observed and forecast levels."""
+    """Class-weighted boosted levels of three pollen types: observed and forecast."""
     return load_model("pollen_levels").predict(tables_of(spark, folder), SETTINGS)
 
 
@@ -222,8 +260,8 @@ def level_scatter(spark: SparkSession, folder: str) -> DataFrame:
     table = load_model("pollen_levels").predict(tables_of(spark, folder), SETTINGS)
     return scored(
         table,
-        jitter_normal("tree_observed", 42).alias("observed"),
-        jitter_normal("tree_forecast", 43).alias("forecast"),
+        jitter_normal("tree_observed", KEYS, 42).alias("observed"),
+        jitter_normal("tree_forecast", KEYS, 43).alias("forecast"),
     )
 
 
@@ -239,7 +277,8 @@ def spike_data(spark: SparkSession, folder: str) -> Matrix:
 def spike_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Spike probability, scored by the area under the ROC curve on validation and test rows."""
     data = spike_data(spark, folder)
-    table = T.with_probability(T.fit_spike_classifier(data.train, how=BOOST), data.part("val", "test"), "p")
+    rows, how = with_stop(data, SETTINGS.spikes)
+    table = T.with_probability(T.fit_spike_classifier(rows, how=how), data.part("val", "test"), "p")
     return E.roc_auc(table.select("split", "is_spike", "p"), "is_spike", "p", ["split"])
 
 
@@ -247,20 +286,14 @@ def spike_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def two_stage_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """All three fits stop on the validation year; scored on test rows."""
     data = spike_data(spark, folder)
-    rows = T.with_validation_flag(data.part("train", "val"))
-    models = fit_two_stage(rows, how=replace(BOOST, stop_on="is_validation"))
+    rows, how = with_stop(data, SETTINGS.mixture)
+    models = fit_two_stage(rows, how=how, classifier=with_stop(data, SETTINGS.spikes)[1])
     return scored(two_stage_predict(models, data.part("test")), "total", "spike_probability", "predicted")
 
 
 def ensemble_table(spark: SparkSession, folder: str, splits: tuple[str, ...] = ("test",)) -> DataFrame:
     data = air_data(spark, folder)
-    train = data.part("train", "val")
-    models = [
-        T.fit_boosted(train, "aqi", SETTINGS.depth_wise),
-        T.fit_boosted(train, "aqi", SETTINGS.leaf_wise),
-        T.fit_forest(train, "aqi", FOREST),
-    ]
-    return mean_of(models, data.part(*splits))
+    return mean_of(air_fits(data, SETTINGS), data.part(*splits))
 
 
 @query("ensemble_mean")
@@ -297,15 +330,23 @@ def refit_train_val(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("tune_on_val")
 def tune_on_val(spark: SparkSession, folder: str) -> DataFrame:
-    """Validation error for a small grid of settings, best first; the test rows stay untouched."""
+    """24 settings of a forest by successive halving on the validation year, best first; the test rows stay
+    untouched."""
     data = air_data(spark, folder)
-    tables = [
-        predict_with(T.fit_forest(data.train, "aqi", replace(FOREST, depth=depth, min_leaf=leaf)), data.part("val"))
-        .select("aqi", "predicted", F.lit(depth).alias("depth"), F.lit(leaf).alias("min_leaf"))
-        for depth in (3, 5)
-        for leaf in (1, 10)
+    grid = [
+        replace(FOREST, depth=depth, min_leaf=leaf, subset=subset)
+        for depth in (4, 6, 8, 10)
+        for leaf in (1, 4, 16)
+        for subset in ("auto", "all")
     ]
-    return E.regression_metrics(P.union_splits(*tables), "aqi", "predicted", ["depth", "min_leaf"]).orderBy("rmse")
+
+    def loss(how: T.Forest, trees: int) -> float:
+        fitted = T.fit_forest(data.train, "aqi", replace(how, trees=trees))
+        return E.regression_metrics(predict_with(fitted, data.part("val")), "aqi", "predicted").first()["rmse"]
+
+    trials = halving(grid, loss, (5, 15, 45))
+    rows = [(i, t.budget, t.setting.depth, t.setting.min_leaf, t.setting.subset, t.loss) for i, t in enumerate(trials, 1)]
+    return spark.createDataFrame(rows, "place int, trees int, depth int, min_leaf int, subset string, rmse double")
 
 
 @query("feature_importance")
@@ -327,6 +368,28 @@ def model_save_load(spark: SparkSession, folder: str) -> DataFrame:
     return scored(both, "predicted", "predicted_loaded")
 
 
+@query("model_bundle")
+def model_bundle(spark: SparkSession, folder: str) -> DataFrame:
+    """Three fitted models stored as one bundle, loaded by name and scored without a refit: test rows and the
+    largest difference from the models that were stored."""
+    data, path = air_data(spark, folder), scratch_path(spark, "bundle")
+    rows, how = with_stop(data, SETTINGS.depth_wise)
+    fitted = {
+        "forest": T.fit_forest(data.train, "aqi", replace(FOREST, trees=50)),
+        "boosted": T.fit_boosted(rows, "aqi", how),
+        "linear": L.fit_ols(data.train, "aqi"),
+    }
+    save_bundle(spark, fitted, path, data.names)
+    loaded = load_bundle(spark, path)
+    tables = [
+        predict_with(loaded.model(name), predict_with(m, data.part("test")), "again").select(
+            F.lit(name).alias("model"), F.abs(F.col("predicted") - F.col("again")).alias("difference")
+        )
+        for name, m in fitted.items()
+    ]
+    return P.union_splits(*tables).groupBy("model").agg(F.count("*").alias("n"), F.max("difference").alias("difference"))
+
+
 # ---- registry --------------------------------------------------------------------------------
 
 
@@ -342,14 +405,10 @@ def tables_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def model_registry(spark: SparkSession, folder: str) -> DataFrame:
     """Every registered numeric forecast model on the same tables: test error per model."""
     tables = {name: written(df) for name, df in tables_of(spark, folder).items()}
-    quick = replace(BOOST, rounds=5)
-    small = replace(
-        SETTINGS, depth_wise=quick, leaf_wise=replace(quick, depth=5), past_boosting=quick, log_boosting=quick, mixture=quick
-    )
     results = [
-        MODELS[name].predict(tables, small).select("observed", "predicted", F.lit(name).alias("model"))
+        MODELS[name].predict(tables, SETTINGS).select("observed", "predicted", F.lit(name).alias("model"))
         for name in sorted(MODELS)
-        if name != "pollen_levels"
+        if name != "pollen_levels"  # its levels are scored by level_report
     ]
     return E.regression_metrics(P.union_splits(*results), "observed", "predicted", ["model"])
 
@@ -381,9 +440,62 @@ def cluster_profile(spark: SparkSession, folder: str) -> DataFrame:
     return K.cluster_profile(K.with_cluster(vectors(spark, folder), 3), CLUSTER_COLS)
 
 
+# Feature sets and their numbers of clusters, without and with month and day.
+CLUSTER_SETS = {
+    "weather_pollen": ([*WEATHER, "total"], 17, 18),
+    "weather_aqi": ([*WEATHER, "aqi"], 14, 14),
+    "aqi_pollen": (["aqi", "total"], 11, 12),
+}
+
+
+def cluster_table(spark: SparkSession, folder: str) -> DataFrame:
+    days = daily.all_three(spark, folder).select(*KEYS, *WEATHER, "total", "aqi")
+    return daily.stored(days.withColumns({"month": F.month("date").cast("double"), "day": F.dayofmonth("date").cast("double")}))
+
+
 @query("elbow_costs")
 def elbow_costs(spark: SparkSession, folder: str) -> DataFrame:
-    return K.elbow_costs(vectors(spark, folder), range(1, 9))
+    """Cost of every k from 1 to 99 for three feature sets, and whether it is the knee of its curve."""
+    days, parts = cluster_table(spark, folder), []
+    for name, (cols, _, _) in CLUSTER_SETS.items():
+        costs = K.elbow_costs(K.scaled_vectors(days, cols), range(1, 100))
+        knee = knee_point(costs).first()["k"]
+        parts.append(rounded(costs, 3, "cost").withColumns({"features": F.lit(name), "knee": F.col("k") == knee}))
+    return P.union_splits(*parts)
+
+
+@query(
+    "elbow_single",
+    daily_sql(
+        "SELECT unnest(['weather_pollen', 'weather_aqi', 'aqi_pollen']) AS features, "
+        "round(unnest([7e0, 7e0, 2e0]) * count(*), 3) AS cost FROM all_three"
+    ),
+)
+def elbow_single(spark: SparkSession, folder: str) -> DataFrame:
+    """The cost of one cluster: rows times features, since every feature has unit variance."""
+    days, parts = cluster_table(spark, folder), []
+    for name, (cols, _, _) in CLUSTER_SETS.items():
+        costs = K.elbow_costs(K.scaled_vectors(days, cols), [1])
+        parts.append(costs.select(F.lit(name).alias("features"), r("cost", "cost", 3)))
+    return P.union_splits(*parts)
+
+
+@query("kmeans_profiles")
+def kmeans_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and mean of every feature per cluster: three feature sets, without and with month and day, for
+    three clusters and for the published numbers."""
+    days, parts = cluster_table(spark, folder), []
+    for name, (cols, plain, dated) in CLUSTER_SETS.items():
+        for with_dates, most in ((False, plain), (True, dated)):
+            used = [*cols, "month", "day"] if with_dates else cols
+            table = K.scaled_vectors(days, used)
+            centres, _ = K.fit_together(table, [3, most])
+            for k, found in centres.items():
+                profile = K.cluster_profile(K.with_nearest(table, found), used)
+                means = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(f"mean_{c}", 6).alias("mean")) for c in used])
+                long = profile.select("cluster", "n", F.inline(means))
+                parts.append(long.withColumns({"features": F.lit(name), "with_dates": F.lit(with_dates), "k": F.lit(k)}))
+    return P.union_splits(*parts)
 
 
 @query("pca_2d")

@@ -322,8 +322,7 @@ def join_inner_daily(spark: SparkSession, folder: str) -> Frame:
 
 @query("join_three_way", daily_sql("SELECT * FROM pollen JOIN weather USING (site, date) JOIN air USING (site, date)"))
 def join_three_way(spark: SparkSession, folder: str) -> Frame:
-    tables = [daily.pollen(spark, folder), daily.weather(spark, folder), daily.air(spark, folder)]
-    return tables[0].join(tables[1], KEYS).join(tables[2], KEYS)
+    return daily.all_three(spark, folder)
 
 
 @query(
@@ -336,8 +335,11 @@ def join_three_way(spark: SparkSession, folder: str) -> Frame:
     ),
 )
 def join_fold(spark: SparkSession, folder: str) -> Frame:
-    tables = {"pollen": daily.pollen, "weather": daily.weather, "air": daily.air}
-    counted = [t(spark, folder).groupBy("date").agg(F.count(F.lit(1)).alias(f"n_{name}")) for name, t in tables.items()]
+    """Days of each table, joined one after the other. Air and pollen are one written table, so the
+    orders are scanned once."""
+    both = daily.stored(daily.air_pollen(spark, folder))
+    tables = {"pollen": both.select(*KEYS, "total"), "weather": daily.weather(spark, folder), "air": both.select(*KEYS, "aqi")}
+    counted = [t.groupBy("date").agg(F.count(F.lit(1)).alias(f"n_{name}")) for name, t in tables.items()]
     return J.join_all(counted, ["date"])
 
 
@@ -677,17 +679,32 @@ def bin_means(spark: SparkSession, folder: str) -> Frame:
     )
 
 
-@query("jitter")
+@query(
+    "jitter",
+    daily_sql(
+        """
+SELECT site, date, round(ln(1 + rain), 6) AS log_rain, round(ln(1 + rain) + 0.01 * u, 6) AS uniform,
+  round(ln(1 + rain) + 0.1 * sqrt(-2 * ln((a + 1) / 4503599627370496e0)) * cos(2 * pi() * v), 6) AS normal
+FROM (SELECT site, date, rain, a, a / 4503599627370496e0 AS u, ('0x' || substr(h, 14, 13))::BIGINT / 4503599627370496e0 AS v
+      FROM (SELECT *, ('0x' || substr(h, 1, 13))::BIGINT AS a FROM (SELECT *, md5(site || ':' || date || ':42') AS h FROM weather)))
+"""
+    ),
+)
 def jitter(spark: SparkSession, folder: str) -> Frame:
-    """Uniform and normal noise; the seed fixes it for a given row layout."""
+    """Uniform and normal noise that follows from the row's key and the seed."""
+    noisy = noisy_rain(spark, folder)
+    return rounded(noisy, 6, "log_rain", "uniform", "normal")
+
+
+def noisy_rain(spark: SparkSession, folder: str) -> Frame:
     rain = daily.weather(spark, folder).select(*KEYS, F.log1p("rain").alias("log_rain"))
-    return rain.select("*", S.jitter("log_rain", 42).alias("uniform"), S.jitter_normal("log_rain", 42).alias("normal"))
+    return rain.select("*", S.jitter("log_rain", KEYS, 42).alias("uniform"), S.jitter_normal("log_rain", KEYS, 42).alias("normal"))
 
 
 @query("jitter_bounds", daily_sql("SELECT site, date, true AS in_range FROM weather"))
 def jitter_bounds(spark: SparkSession, folder: str) -> Frame:
     """Uniform noise stays within its width."""
-    noisy = jitter(spark, folder)
+    noisy = noisy_rain(spark, folder)
     added = F.col("uniform") - F.col("log_rain")
     return noisy.select(*KEYS, ((added >= -1e-12) & (added < 0.01 + 1e-12)).alias("in_range"))
 

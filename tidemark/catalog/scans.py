@@ -17,7 +17,10 @@ from tidemark.sources import daily
 from tidemark.sources.readers import load_bundle, read_csv, read_csv_after_preamble, read_table
 from tidemark.sources.sinks import write_csv, write_metrics
 
-TABLES = ["customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier"]
+TABLES = [
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders",
+    "pages", "part", "region", "supplier",
+]
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:

@@ -371,7 +371,42 @@ GROUP BY p
 def lowess_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Pollen against log rain in season, 15 grid points, nearest 30 percent of rows."""
     season = daily.all_three(spark, folder).filter(F.month("date").between(3, 9))
-    curve = K.lowess(season.select(F.log1p("rain").alias("x"), F.col("total").alias("y")), "x", "y", 0.3, 15)
+    curve = K.lowess(season.select(F.log1p("rain").alias("x"), F.col("total").alias("y")), "x", "y", 0.3, 15, robust=0)
+    return curve.select("point", r("x", "x"), r("fitted", "fitted", 4))
+
+
+def robust_sql(points: int = 15, rounds: int = 3) -> str:
+    """Share 2/3 and three rounds of bisquare weights, residuals from the line between grid points."""
+    last = points - 1
+    fit = (
+        "SELECT p, any_value(gx) AS gx, CASE WHEN sum(w) * sum(w*d*d) - sum(w*d) * sum(w*d) > 1e-9 * sum(w) * sum(w) "
+        "THEN (sum(w*d*d) * sum(w*y) - sum(w*d) * sum(w*d*y)) / (sum(w) * sum(w*d*d) - sum(w*d) * sum(w*d)) ELSE sum(w*y) / sum(w) END AS f"
+    )
+    steps = [
+        "pts AS MATERIALIZED (SELECT row_number() OVER () AS i, ln(1 + rain) AS x, total::DOUBLE AS y FROM all_three WHERE month(date) BETWEEN 3 AND 9)",
+        f"g AS MATERIALIZED (SELECT p, lo + p * ((hi - lo) / {last}e0) AS gx, lo, (hi - lo) / {last}e0 AS step, k FROM "
+        f"(SELECT min(x) AS lo, max(x) AS hi, CAST(ceil(count(*) * 2 / 3e0) AS BIGINT) AS k FROM pts), (SELECT unnest(generate_series(0, {last})) AS p))",
+        "near AS (SELECT p, gx, k, i, x, y, x - gx AS d, row_number() OVER (PARTITION BY p ORDER BY abs(x - gx)) AS rk FROM pts CROSS JOIN g)",
+        "wide AS (SELECT *, max(CASE WHEN rk = k THEN abs(d) END) OVER (PARTITION BY p) AS h FROM near)",
+        "cells AS MATERIALIZED (SELECT p, gx, i, y, d, CASE WHEN abs(d) < h THEN pow(1 - pow(abs(d) / h, 3), 3) ELSE 0 END AS w FROM wide)",
+        f"f0 AS MATERIALIZED ({fit} FROM cells GROUP BY p)",
+    ]
+    for n in range(rounds):
+        steps += [
+            f"r{n} AS MATERIALIZED (SELECT i, abs(y - a.f - (b.f - a.f) * (x - a.gx) / step) AS gap FROM (SELECT pts.*, step, "
+            f"least(greatest(floor((x - lo) / step), 0), {last - 1}) AS p FROM pts, (SELECT lo, step FROM g WHERE p = 0)) t "
+            f"JOIN f{n} a ON a.p = t.p JOIN f{n} b ON b.p = t.p + 1)",
+            f"t{n} AS (SELECT i, CASE WHEN gap < 6 * m THEN pow(1 - pow(gap / (6 * m), 2), 2) ELSE 0 END AS trust FROM r{n}, (SELECT median(gap) AS m FROM r{n}))",
+            f"f{n + 1} AS MATERIALIZED ({fit} FROM (SELECT p, gx, y, d, w * trust AS w FROM cells JOIN t{n} USING (i)) GROUP BY p)",
+        ]
+    return daily_sql(f"SELECT p::INT AS point, round(gx, 6) AS x, round(f, 4) AS fitted FROM f{rounds}", *steps)
+
+
+@query("lowess_robust", robust_sql())
+def lowess_robust(spark: SparkSession, folder: str) -> DataFrame:
+    """Pollen against log rain in season: nearest two thirds of the rows, three robust rounds."""
+    season = daily.all_three(spark, folder).filter(F.month("date").between(3, 9))
+    curve = K.lowess(season.select(F.log1p("rain").alias("x"), F.col("total").alias("y")), "x", "y", points=15)
     return curve.select("point", r("x", "x"), r("fitted", "fitted", 4))
 
 

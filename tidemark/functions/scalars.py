@@ -99,14 +99,31 @@ def ratio(numerator: Column | str, denominator: Column | str, epsilon: float = 0
     return F.try_divide(to_col(numerator), bottom)
 
 
-def jitter(x: Column | str, seed: int, width: float = 0.01) -> Column:
+def _keyed_draw(keys: Sequence[Column | str], seed: int, place: int) -> Column:
+    """A whole number below 2^52 that depends on key and seed alone: 13 hex digits of an md5."""
+    digest = F.md5(F.concat_ws(":", *[F.coalesce(to_col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1 + 13 * place, 13), 16, 10).cast("bigint")
+
+
+def uniform_noise(keys: Sequence[Column | str], seed: int) -> Column:
+    """Noise in [0, 1) from the row's key, so the same row has the same noise however the rows lie."""
+    return _keyed_draw(keys, seed, 0) / F.lit(float(1 << 52))
+
+
+def normal_noise(keys: Sequence[Column | str], seed: int) -> Column:
+    """Standard normal noise from the row's key (Box-Muller)."""
+    radius = F.sqrt(-2.0 * F.ln((_keyed_draw(keys, seed, 0) + 1) / F.lit(float(1 << 52))))
+    return radius * F.cos(F.lit(2 * math.pi) * _keyed_draw(keys, seed, 1) / F.lit(float(1 << 52)))
+
+
+def jitter(x: Column | str, keys: Sequence[Column | str], seed: int, width: float = 0.01) -> Column:
     """Add uniform noise from [0, width)."""
-    return to_col(x) + F.rand(seed) * F.lit(width)
+    return to_col(x) + uniform_noise(keys, seed) * F.lit(width)
 
 
-def jitter_normal(x: Column | str, seed: int, sd: float = 0.1) -> Column:
+def jitter_normal(x: Column | str, keys: Sequence[Column | str], seed: int, sd: float = 0.1) -> Column:
     """Add normal noise."""
-    return to_col(x) + F.randn(seed) * F.lit(sd)
+    return to_col(x) + normal_noise(keys, seed) * F.lit(sd)
 
 
 def back_in_time(date: Column | str, years: int = 0, days: int = 0) -> Column:

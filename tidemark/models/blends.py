@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models import trees as T
+from tidemark.models.boosting import at_once
 from tidemark.models.prepare import predict_with
 
 
@@ -30,11 +31,11 @@ def fit_two_stage(
     Validation rows marked by ``how.stop_on`` steer all three fits, whatever their own label.
     """
     held = F.col(how.stop_on) if how.stop_on else F.lit(False)
-    return (
-        T.fit_spike_classifier(train, spike, classifier or how),
-        T.fit_boosted(train.filter((F.col(spike) == 0) | held), target, how),
-        T.fit_boosted(train.filter((F.col(spike) == 1) | held), target, how),
-    )
+    return tuple(at_once([
+        lambda: T.fit_spike_classifier(train, spike, classifier or how),
+        lambda: T.fit_boosted(train.filter((F.col(spike) == 0) | held), target, how),
+        lambda: T.fit_boosted(train.filter((F.col(spike) == 1) | held), target, how),
+    ]))
 
 
 def two_stage_predict(models: tuple, df: DataFrame, name: str = "predicted") -> DataFrame:

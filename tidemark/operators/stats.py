@@ -7,8 +7,11 @@ Every statistic is one aggregation with partial results per task, or goes throug
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,34 +117,41 @@ def null_matrix(df: DataFrame, cols: Sequence[str], period: Column) -> DataFrame
     return df.groupBy(period.alias("period")).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Correlation of every ordered pair of columns over the rows where both hold a value.
+def _products(values: DataFrame, means: Sequence[float]) -> tuple[np.ndarray, ...]:
+    """Over the rows where two columns both hold a value, for every pair: rows, sums of the first, sums of
+    its squares, and sums of products (columns x columns each), of values taken from their means.
 
-    One pass: each row adds its cells to a running sum per pair of columns inside its task, and one
-    row per task and pair is shuffled. A single aggregate with all pairs side by side would exceed
-    what the generated code can hold, and ran three times slower.
+    Value, square and presence of every column stand side by side in one vector, so one Gram matrix of
+    these vectors holds all of it. Each task keeps one such matrix, and they are merged pairwise.
     """
-    pairs = list(combinations_with_replacement(cols, 2))
-    cells = [
-        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    sums = (
-        df.select(F.inline(F.array(*cells)))
-        .groupBy("pair")
-        .agg(F.corr("x", "y").alias("r"), F.count_if(both).alias("n"))
-    )
-    first, second = (F.element_at(F.array(*[F.lit(p[side]) for p in pairs]), F.col("pair") + 1) for side in (0, 1))
-    named = sums.select(first.alias("a"), second.alias("b"), F.col("r").alias("raw_r"), "n")
-    same = F.col("a") == F.col("b")
-    r = F.when(same, F.lit(1.0)).otherwise(F.col("raw_r"))
+    parts = [F.coalesce(F.col(c) - F.lit(m), F.lit(0.0)) for c, m in zip(values.columns, means)]
+    held = [F.col(c).isNotNull().cast("double") for c in values.columns]
+    rows = values.select(array_to_vector(F.array(*parts, *[x * x for x in parts], *held)).alias("v"))
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
+    x, q, m = (slice(i * len(parts), (i + 1) * len(parts)) for i in range(3))
+    return gram[m, m], gram[x, m], gram[q, m], gram[x, x]
+
 
-    def cell(x: str, y: str) -> Column:
-        return F.struct(F.col(x).alias("var_a"), F.col(y).alias("var_b"), r.alias("r"), F.col("n").alias("n"))
+def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Correlation of every ordered pair of columns over the rows where both hold a value.
 
-    both_ways = F.array(cell("a", "b"), F.when(~same, cell("b", "a")))
-    return named.select(F.inline(F.array_compact(both_ways)))
+    Two scans, one for the means and one for all products, and no shuffle of rows. A pair in which a column
+    does not vary has no correlation; a column with itself has 1.
+    """
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    first = values.agg(F.count(F.lit(1)), *[F.avg(c) for c in values.columns]).first()
+    means = [m or 0.0 for m in first[1:]]
+    n = s = q = xy = np.zeros((len(cols), len(cols)))
+    if first[0]:
+        n, s, q, xy = _products(values, means)
+    spread = n * q - s * s
+    # what is left of a constant column after rounding does not count as spread
+    varies = spread > (n * np.abs(means)[:, None] * 1e-12) ** 2
+    both = varies & varies.T
+    r = np.where(both, (n * xy - s * s.T) / np.sqrt(np.where(both, spread * spread.T, 1.0)), np.nan)
+    np.fill_diagonal(r, 1.0)
+    rows = [(a, b, None if np.isnan(r[i, j]) else float(r[i, j]), int(n[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "var_a string, var_b string, r double, n bigint")
 
 
 def strong_pairs(matrix: DataFrame, over: float = 0.4) -> DataFrame:
@@ -163,17 +173,20 @@ def null_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def with_ranks(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> DataFrame:
-    """Average ranks of each column over the whole table, one row per ``row_key``.
+    """Average ranks of each column over the whole table, in the place of its values.
 
-    The cells of all columns are ranked together in one range-partitioned pass. The join back is on
-    (variable, value); a hot value is one row on the ranking side, so a skewed join can be split.
+    Only counts of distinct (variable, value) are ranked, in one range-partitioned pass. A row looks its
+    ranks up in the written result, column by column: in memory where a column's values are few enough to
+    be broadcast, else with one exchange of the rows for that column. A hot value is one row on the
+    ranking side, so a skewed join can be split. Null stays null.
     """
-    cells = long_format(df, cols, row_key)
-    ranks = ranked_counts(cells, "value", ["variable"]).select("variable", "value", average_rank().alias("rank"))
-    placed = cells.join(ranks, ["variable", "value"])
-    return placed.groupBy(*row_key).agg(
-        *[F.max(F.when(F.col("variable") == c, F.col("rank"))).alias(c) for c in cols]
-    )
+    ranks = ranked_counts(long_format(df, cols), "value", ["variable"]).select("variable", "value", average_rank().alias("rank"))
+    ranks = written(ranks)
+    placed = df.select(*row_key, *[F.col(c).cast("double").alias(f"_value_{i}") for i, c in enumerate(cols)])
+    for i, c in enumerate(cols):
+        mine = ranks.filter(F.col("variable") == c).select(F.col("value").alias(f"_value_{i}"), F.col("rank").alias(f"_rank_{i}"))
+        placed = placed.join(mine, f"_value_{i}", "left")
+    return placed.select(*row_key, *[F.col(f"_rank_{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def spearman(df: DataFrame, cols: Sequence[str], row_key: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import calendar_parts, cyclic, flag
 from tidemark.operators import labels as L
 from tidemark.operators import windows as W
-from tidemark.operators.clean import drop_nulls, interpolate
+from tidemark.operators.clean import drop_nulls, forward_fill_zero, interpolate
 
 # Lag and rolling lengths of the feature sets.
 LONG_LAGS = [1, 2, 3, 4, 7, 14, 21, 30]
@@ -139,9 +139,13 @@ def pollen_per_type(df: DataFrame, columns: Columns) -> DataFrame:
     return drop_nulls(df.select("*", *picked), [f"{t}_roll_30day" for t in columns.types])
 
 
-def pollen_two_stage(df: DataFrame, columns: Columns, year_lag: bool = True) -> DataFrame:
-    """Calendar cycles, lags with relative changes, relaxed means, weather up to yesterday. Numeric
-    source columns are interpolated, and rows without any earlier target are dropped."""
+def pollen_two_stage(df: DataFrame, columns: Columns, year_lag: bool = True, causal: bool = False) -> DataFrame:
+    """Calendar cycles, lags with relative changes, relaxed means, weather up to yesterday. Rows without
+    any earlier target are dropped.
+
+    Gaps of numeric source columns are interpolated, which looks at later rows, also across a split; with
+    ``causal`` the last known value goes on instead. What is left is 0.
+    """
     w = W.series_window(columns.keys)
     t = columns.target
     ks = [*LONG_LAGS, 365] if year_lag else LONG_LAGS
@@ -154,7 +158,8 @@ def pollen_two_stage(df: DataFrame, columns: Columns, year_lag: bool = True) ->
     picked += W.yesterday(columns.weather, w)
     built = df.select("*", *picked)
     sources = [c for c in (t, *columns.pollutants, *columns.weather) if c in df.columns]
-    return drop_nulls(interpolate(built, sources, columns.keys), ["pollen_30day"])
+    filled = forward_fill_zero(built, sources, columns.keys) if causal else interpolate(built, sources, columns.keys)
+    return drop_nulls(filled, ["pollen_30day"])
 
 
 def with_z_spike(df: DataFrame, columns: Columns, split: str = "split") -> DataFrame:

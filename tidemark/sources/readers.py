@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import nan_to_null
-from tidemark.plans.scratch import written
 
 # Columns of the daily source tables.
 POLLUTANT_SCHEMA = (
@@ -42,10 +41,22 @@ TABLE_SCHEMAS = {
 }
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A record table. NaN becomes null."""
+def read_table(spark: SparkSession, folder: str, name: str, within: Mapping[str, tuple] | None = None) -> DataFrame:
+    """A record table. NaN becomes null.
+
+    ``within`` keeps rows whose columns lie between two bounds, both included (None: open). It reaches the
+    parquet scan, which a later filter on a double column cannot, since the column is cleaned in between.
+    Null and NaN lie within no bounds.
+    """
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    return nan_as_null(reader.parquet(f"{folder}/{name}.parquet"))
+    df = reader.parquet(f"{folder}/{name}.parquet")
+    for column, (low, high) in (within or {}).items():
+        if low is not None:
+            df = df.filter(F.col(column) >= F.lit(low))
+        if high is None and isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+            high = float("inf")  # NaN is above it
+        df = df.filter(F.col(column) <= F.lit(high)) if high is not None else df.filter(F.col(column).isNotNull())
+    return nan_as_null(df)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -60,7 +71,8 @@ def read_csv_after_preamble(spark: SparkSession, path: str, schema: T.StructType
     These lines and the header go by their position, whatever they hold, and every later line that is
     not blank is a row; an unreadable field, the date too, becomes null. The lines of the block at the
     start of a file are read in order by one task, so their ids follow each other: a line's position is its
-    id less the least id of that block. The ids are written once, with the lines.
+    id less the least id of that block. The least ids, one for each file, come from a second scan in the
+    same plan, which therefore cuts the files in the same way; it reads no fields, and no line is written.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -68,8 +80,7 @@ def read_csv_after_preamble(spark: SparkSession, path: str, schema: T.StructType
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"),
     )
-    lines = written(lines)
-    first = written(lines.filter("start = 0").groupBy("file").agg(F.min("id").alias("first")))
+    first = lines.groupBy("file").agg(F.min(F.when(F.col("start") == 0, F.col("id"))).alias("first"))
     rows = lines.join(first, "file", "left").filter((F.col("start") > 0) | (F.col("id") - F.col("first") > skip_lines))
     parsed = rows.filter(F.trim("value") != "").select(F.from_csv("value", _ddl(schema)).alias("row"))
     return nan_as_null(parsed.select("row.*"))
