@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.flat import _MULTIPLIER, letters, mix, text_slices
 from tidemark.llm.langid import held_out
+from tidemark.plans.scalar_stats import constants
+from tidemark.plans.scratch import written
 
 DECAY = 0.6
 WIDTH = 24  # letters of a unit that are compared at once; longer units are covered by overlapping windows
@@ -35,6 +37,8 @@ LANDMARKS = 96
 TRAIN_ROWS = 8_000  # labelled texts to fit the weights on, at most about so many; landmarks come from all
 SEEN = 50_000  # distinct units whose values a task keeps
 AT_ONCE = 1 << 16  # units whose values are gathered at once
+BROADCAST_RUNS = 200_000  # candidate runs that are broadcast; more of them are joined by a shuffle
+FILTER_BITS = 1 << 24
 SENTENCES = 3  # of each such text: those that come nearest to the landmarks
 
 
@@ -227,36 +231,45 @@ class Model:
         return 1 / (1 + np.exp(np.clip(-2 * margin, -50, 50)))
 
 
+def _runs(word: str = "word") -> Column:
+    """Distinct letter runs of 4 to 8 letters of a word."""
+    starts = F.sequence(F.lit(1), F.length(word) - 3)
+    ends = lambda i: F.sequence(F.lit(4), F.least(F.lit(8), F.length(word) - i + 1))
+    return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(ends(i), lambda n: F.substring(word, i, n)))))
+
+
 def _landmark_words(texts: DataFrame, count: int) -> list[str]:
     """Letter runs of 4 to 8 letters that are more frequent in toxic texts, the most significant first. All
-    significant runs are gone through, so the many runs of one word do not take the places of others."""
+    significant runs are gone through, so the many runs of one word do not take the places of others.
+
+    Only runs of words of toxic texts can be significant, and only if they were so without any other
+    text; these few are counted in all words, the others are not shuffled.
+    """
     letters_only = F.lower(F.regexp_replace("text", r"[^\p{L}\s]", ""))
     words = texts.select("toxic", F.explode(F.array_distinct(F.split(letters_only, r"\s+"))).alias("word"))
     words = words.filter(F.length("word") >= 4).groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    words = words.persist()
+    words = written(words)
     totals = words.agg(F.sum("bad"), F.sum("good")).first()
     if not totals[0] or not totals[1]:
-        words.unpersist()
         return []
-    starts = F.sequence(F.lit(1), F.length("word") - 3)
-    runs = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(4), F.least(F.lit(8), F.length("word") - i + 1)), lambda n: F.substring("word", i, n)))))
-    runs = words.select(F.explode(runs).alias("run"), "bad", "good").groupBy("run").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    toxic = words.filter("bad > 0").select(F.explode(_runs()).alias("run"), "bad").groupBy("run").agg(F.sum("bad").alias("bad"))
+    toxic = written(toxic.filter("bad >= 2"))
+    least = float(np.log(max(2, toxic.count()))) + 3  # else chance makes some of so many
+    able = written(toxic.filter(F.col("bad") * float(np.log(sum(totals) / totals[0])) > least).select("run"))
+    few = able.count() <= BROADCAST_RUNS
+    found = words.select(F.explode(_runs()).alias("run"), "bad", "good").join(F.broadcast(able) if few else able, "run", "left_semi")
+    runs = found.groupBy("run").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate = (F.col("bad") + F.col("good")) / float(sum(totals))
     part = lambda c, total: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / float(total) / rate)).otherwise(0.0)
     gain = F.round(part("bad", totals[0]) + part("good", totals[1]), 6).alias("gain")
-    runs = runs.filter((F.col("bad") >= 2) & (F.col("bad") / float(totals[0]) > 2 * (F.col("bad") + F.col("good")) / float(sum(totals)))).persist()
-    tested = max(2, runs.count())
-    top = runs.select("run", gain).filter(F.col("gain") > float(np.log(tested)) + 3)  # else chance makes some of so many
-    found = top.orderBy(F.desc("gain"), F.desc(F.length("run")), "run")
+    runs = runs.filter(F.col("bad") / float(totals[0]) > 2 * (F.col("bad") + F.col("good")) / float(sum(totals)))
+    top = written(runs.select("run", gain).filter(F.col("gain") > least))
     chosen: list[str] = []
-    for row in found.toLocalIterator():
+    for row in top.orderBy(F.desc("gain"), F.desc(F.length("run")), "run").toLocalIterator():
         if len(chosen) == count:
             break
         if not any(_alike(row["run"], c) for c in chosen):
             chosen.append(row["run"])
-    runs.unpersist()
-    words.unpersist()
     return chosen
 
 
@@ -281,6 +294,19 @@ def _svm(x: np.ndarray, y: np.ndarray, each: np.ndarray) -> np.ndarray:
     return w
 
 
+def _maybe_in(ids: DataFrame) -> Column:
+    """Whether ``id`` may be among the given ones, by one bit of a map of fixed size for each id's hash. A map
+    that is full lets all pass, so what follows must look again."""
+    place = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(FILTER_BITS))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    words = ids.select(place.alias("place")).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = ids.sparkSession.range(FILTER_BITS // 64).join(words, F.col("id") == F.col("word"), "left")
+    every = written(every.select(F.struct(F.col("id"), F.coalesce("bits", F.lit(0)).alias("bits")).alias("x")))
+    table = constants(every, {"bits": F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bits"])})["bits"]
+    word = F.get(table, F.floor(place / 64).cast("int"))
+    return F.getbit(word, F.pmod(place, F.lit(64)).cast("int")) == 1
+
+
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS, count: int = LANDMARKS, cost: float = 50_000.0) -> Model:
     """Fit on the labelled rows that are not held out: landmarks from all of them, weights from about ``rows``, half
     of them toxic if there are so many, chosen by a hash of the id and weighted by the rows that they stand for."""
@@ -291,10 +317,13 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     keep_good = min(1.0, max(rows // 2, rows - bad) / max(good, 1))
     share = F.when(F.col("toxic") > 0, keep_bad).otherwise(keep_good)
     known = known.withColumn("sampled", F.pmod(F.xxhash64(F.lit(5), F.col(id_col)), F.lit(1 << 30)) < share * (1 << 30))
-    texts = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.join(known, F.col("_id") == F.col(id_col)).select("text", "toxic", "sampled")
-    texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"), F.max("sampled").alias("sampled")).persist()
-    landmarks = Landmarks(_landmark_words(texts, count))
+    texts = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = texts.filter("id is not null").withColumn("hash", F.md5("text"))
+    # equal texts are one, named by the least id: hashes and ids only
+    marks = texts.select("id", "hash").join(known.withColumnRenamed(id_col, "id"), "id")
+    marks = written(marks.groupBy("hash").agg(F.max("toxic").alias("toxic"), F.max("sampled").alias("sampled"), F.min("id").alias("id")))
+    mine = texts.filter(_maybe_in(marks.select("id"))).join(marks.hint("merge"), ["id", "hash"]).dropDuplicates(["id", "hash"])
+    landmarks = Landmarks(_landmark_words(mine, count))
     size = len(landmarks.words)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,10 +344,10 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
 
     if not size:
-        texts.unpersist()
         return Model(landmarks, np.zeros(0), -1.0)
-    examples = texts.filter("sampled").select("text", "toxic").mapInArrow(nearest, "toxic int, x array<double>").collect()
-    texts.unpersist()
+    sampled = marks.filter("sampled").select("id", "hash", "toxic")  # about ``rows`` rows
+    sample = texts.join(F.broadcast(sampled), ["id", "hash"]).dropDuplicates(["id", "hash"])
+    examples = sample.select("text", "toxic").mapInArrow(nearest, "toxic int, x array<double>").collect()
     bags = [(e["toxic"], np.array(e["x"]).reshape(-1, size)) for e in sorted(examples, key=lambda e: (e["toxic"], e["x"]))]
     y = np.array([1.0 if toxic else -1.0 for toxic, _ in bags])
     each = np.where(y > 0, 1 / keep_bad, 1 / keep_good)
