@@ -37,8 +37,7 @@ LANDMARKS = 96
 TRAIN_ROWS = 8_000  # labelled texts to fit the weights on, at most about so many; landmarks come from all
 SEEN = 50_000  # distinct units whose values a task keeps
 AT_ONCE = 1 << 16  # units whose values are gathered at once
-BROADCAST_RUNS = 200_000  # candidate runs that are broadcast; more of them are joined by a shuffle
-FILTER_BITS = 1 << 24
+FILTER_BITS = 1 << 24  # of the maps that keep most other rows from a shuffle
 SENTENCES = 3  # of each such text: those that come nearest to the landmarks
 
 
@@ -242,8 +241,9 @@ def _landmark_words(texts: DataFrame, count: int) -> list[str]:
     """Letter runs of 4 to 8 letters that are more frequent in toxic texts, the most significant first. All
     significant runs are gone through, so the many runs of one word do not take the places of others.
 
-    Only runs of words of toxic texts can be significant, and only if they were so without any other
-    text; these few are counted in all words, the others are not shuffled.
+    Only runs of words of toxic texts can be significant. Those words alone give a run's toxic count and the
+    least that its other count can be; the runs that are significant with it are looked for in all words,
+    through a bit map of fixed size, and counted in full. What the map lets pass besides fails the final test.
     """
     letters_only = F.lower(F.regexp_replace("text", r"[^\p{L}\s]", ""))
     words = texts.select("toxic", F.explode(F.array_distinct(F.split(letters_only, r"\s+"))).alias("word"))
@@ -252,17 +252,16 @@ def _landmark_words(texts: DataFrame, count: int) -> list[str]:
     totals = words.agg(F.sum("bad"), F.sum("good")).first()
     if not totals[0] or not totals[1]:
         return []
-    toxic = words.filter("bad > 0").select(F.explode(_runs()).alias("run"), "bad").groupBy("run").agg(F.sum("bad").alias("bad"))
-    toxic = written(toxic.filter("bad >= 2"))
-    least = float(np.log(max(2, toxic.count()))) + 3  # else chance makes some of so many
-    able = written(toxic.filter(F.col("bad") * float(np.log(sum(totals) / totals[0])) > least).select("run"))
-    few = able.count() <= BROADCAST_RUNS
-    found = words.select(F.explode(_runs()).alias("run"), "bad", "good").join(F.broadcast(able) if few else able, "run", "left_semi")
-    runs = found.groupBy("run").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate = (F.col("bad") + F.col("good")) / float(sum(totals))
     part = lambda c, total: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / float(total) / rate)).otherwise(0.0)
     gain = F.round(part("bad", totals[0]) + part("good", totals[1]), 6).alias("gain")
-    runs = runs.filter(F.col("bad") / float(totals[0]) > 2 * (F.col("bad") + F.col("good")) / float(sum(totals)))
+    count_runs = lambda df: df.groupBy("run").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad >= 2")
+    often = F.col("bad") / float(totals[0]) > 2 * (F.col("bad") + F.col("good")) / float(sum(totals))
+    every = words.select(F.explode(_runs()).alias("run"), "bad", "good")
+    toxic = written(count_runs(words.filter("bad > 0").select(F.explode(_runs()).alias("run"), "bad", "good")))
+    least = float(np.log(max(2, toxic.count()))) + 3  # else chance makes some of so many
+    able = toxic.filter(often & (gain > least)).select("run")
+    runs = count_runs(every.filter(_maybe_in(able, "run"))).filter(often)
     top = written(runs.select("run", gain).filter(F.col("gain") > least))
     chosen: list[str] = []
     for row in top.orderBy(F.desc("gain"), F.desc(F.length("run")), "run").toLocalIterator():
@@ -294,13 +293,13 @@ def _svm(x: np.ndarray, y: np.ndarray, each: np.ndarray) -> np.ndarray:
     return w
 
 
-def _maybe_in(ids: DataFrame) -> Column:
-    """Whether ``id`` may be among the given ones, by one bit of a map of fixed size for each id's hash. A map
-    that is full lets all pass, so what follows must look again."""
-    place = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(FILTER_BITS))
+def _maybe_in(keys: DataFrame, name: str) -> Column:
+    """Whether the column ``name`` may be among the given keys, by one bit of a map of fixed size for each key's
+    hash. A map that is full lets all pass, so what follows must look again."""
+    place = F.pmod(F.xxhash64(F.lit(7), name), F.lit(FILTER_BITS))
     bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
-    words = ids.select(place.alias("place")).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
-    every = ids.sparkSession.range(FILTER_BITS // 64).join(words, F.col("id") == F.col("word"), "left")
+    words = keys.select(place.alias("place")).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = keys.sparkSession.range(FILTER_BITS // 64).join(words, F.col("id") == F.col("word"), "left")
     every = written(every.select(F.struct(F.col("id"), F.coalesce("bits", F.lit(0)).alias("bits")).alias("x")))
     table = constants(every, {"bits": F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bits"])})["bits"]
     word = F.get(table, F.floor(place / 64).cast("int"))
@@ -322,7 +321,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # equal texts are one, named by the least id: hashes and ids only
     marks = texts.select("id", "hash").join(known.withColumnRenamed(id_col, "id"), "id")
     marks = written(marks.groupBy("hash").agg(F.max("toxic").alias("toxic"), F.max("sampled").alias("sampled"), F.min("id").alias("id")))
-    mine = texts.filter(_maybe_in(marks.select("id"))).join(marks.hint("merge"), ["id", "hash"]).dropDuplicates(["id", "hash"])
+    mine = texts.filter(_maybe_in(marks.select("id"), "id")).join(marks.hint("merge"), ["id", "hash"]).dropDuplicates(["id", "hash"])
     landmarks = Landmarks(_landmark_words(mine, count))
     size = len(landmarks.words)
 
