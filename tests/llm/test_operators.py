@@ -4,12 +4,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.oracle import compare, duck
 from tidemark.llm import QUERIES, SQL, chat, embed_dedup, langid, licenses, minhash, mixing, packing, sharding, topk, toxicity
+from tidemark.llm.flat import _letters
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, node bigint, v string, rank int"
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -244,6 +246,69 @@ def test_license_marks_hold_with_differing_words():
             assert seen.search(text) and any(scanner.names.index(name) in owners for *_, owners in scanner.blocks(text)), text
 
 
+def test_license_versions_and_kinds():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    said = lambda text: [(h[0], h[1]) for h in scanner.scan(text)]
+    gnu = "This work is licensed under the GNU General Public License"
+    assert said(f"{gnu} v3 or later.") == [("GPL-3.0 (short)", "license")]
+    assert said(f"{gnu}, version 3 only.") == [("GPL-3.0", "license")]
+    assert said(f"{gnu}, version 1.") == [("GPL-2.0 (other version)", "license")]
+    assert said("Licensed under the Apache License, Version 1.1.") == [("Apache-2.0 (other version)", "license")]
+    assert said("subject to the terms of the Mozilla Public License, v. 1.1.") in ([], [("MPL-2.0 (other version)", "license")])
+    assert said("Licensed under CC BY 3.0.") == [("CC-BY-4.0 (other version)", "license")]
+    assert said("MIT License Copyright (c) 2020 Me.") == [("MIT (name)", "license"), ("Copyright (c)", "rights")]
+    assert said("# SPDX-License-Identifier: GPL-3.0-or-later") == [("GPL-3.0-or-later (file line)", "license")]
+    bullets = licenses.TEMPLATES["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ")
+    assert said(bullets) == [("BSD-2-Clause", "license")]
+
+
+def test_license_ranking_is_by_bytes_saved():
+    """The winner of a stretch saves at least as many bytes as any other template confirmed on the same words."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, template in licenses.TEMPLATES.items():
+        words = template.split()
+        keys, plain = [licenses._key(w) for w in words], [licenses._plain(w) for w in words]
+        (won,) = [h for h in scanner.scan(template) if h[0] == name]
+        rivals = [scanner.ranked(j, words, h) for j in range(len(scanner.names)) for h in scanner.confirm(j, plain, keys, [True] * len(keys))]
+        assert won[4] == max(-r[0][1] for r in rivals if r[1][:2] == (0, len(words)) and not r[0][0])
+
+
+def test_letters_of_all_planes():
+    known = _letters() != 0
+    assert all(known[c] == chr(c).isalpha() for c in range(0x110000))
+    model = langid.Model(["a", "b"], np.ones((1 << langid.BUCKET_BITS, 2)), np.ones(2))
+    langs = model.score(pa.array([chr(0x1E900) * 3, chr(0x1D11E), chr(0x10100), "x"]))[0]
+    assert langs == ["a", "und", "und", "a"]  # equal scores: the first language
+
+
+def test_language_stage_rejects_what_was_not_learned(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "xkqz vwpt jjhg qqwx zzkp bvcx nmqz wkjh", "これは長いテキストです。日本語の文章はここにあります。", "123 !!", "", None,
+    ]
+    rows = spark.createDataFrame([(-1 - i, t, None, None, None) for i, t in enumerate(odd)], docs.schema)
+    kept = {r[0] for r in corpus_pipeline.keep_known_language(spark, docs.unionByName(rows), folder).select("doc_id").collect()}
+    assert kept == {r[0] for r in docs.filter("text rlike '[a-zA-Z]'").select("doc_id").collect()}
+
+
+def test_pipeline_stages_on_hostile_rows(spark, folder, hostile, empty):
+    out = corpus_pipeline.drop_near_duplicates(spark, hostile, folder)
+    assert out.columns == hostile.columns
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in out.select("doc_id", "text").collect())
+    # 4, 5, its repeat and a null id are one text; 6 and 7 are near copies; texts without words all stay
+    assert [(a, b) for a, b, _ in got] == [(False, i) for i in (0, 1, 2, 3, 4, 6, 8, 9)] + [(True, 0)]
+    nulls = spark.createDataFrame([(None, f"{w} " + "b c d e f g h i j k l m n o p q r s t u v w x y z", "en", w, 1, 1, "x", 2) for w in "xy"], hostile.schema)
+    assert corpus_pipeline.drop_near_duplicates(spark, nulls, folder).count() == 1
+    mixed = corpus_pipeline.mix_sources(spark, hostile, folder)
+    assert mixed.columns == hostile.columns
+    most = {r["text"]: r["n"] for r in hostile.groupBy("text").agg(F.count("*").alias("n")).collect()}
+    assert all(r["n"] <= 2 * most[r["text"]] and r["text"] for r in mixed.groupBy("text").agg(F.count("*").alias("n")).collect())
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).count() == 0
+
+
 def test_pipeline(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = docs

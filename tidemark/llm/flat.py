@@ -103,13 +103,11 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]
 def _letters() -> np.ndarray:
     """Lower-case letter for each code point, 0 for what is no letter."""
     table = np.zeros(0x110000, np.uint32)
-    for c in range(0x10000):
+    for c in range(0x110000):
         s = chr(c)
         if s.isalpha():
             low = s.lower()
             table[c] = ord(low) if len(low) == 1 else c
-    table[0x10000:0x32000] = np.arange(0x10000, 0x32000)
-    table[0x1D800:0x20000] = 0  # symbols and pictures
     return table
 
 

@@ -3,6 +3,10 @@
 Training counts n-grams per language inside tasks and sums them (buckets x languages rows, a bound that
 does not grow with the data). The log-probability matrix is broadcast; scoring gathers the rows of the
 n-grams that occur and sums them per text in numpy.
+
+The posterior of a whole text is near 1 whatever its language, so it does not show a language that was never
+learned. The fit does: the mean log probability of a letter's n-grams, on a scale where 0 is its mean over
+the training texts of the predicted language and -1 that of n-grams that these never hold.
 """
 
 from __future__ import annotations
@@ -27,12 +31,13 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(modulus)) == remainder
 
 
-def hash_sample(df: DataFrame, id_col: str, bound: int, seed: int) -> DataFrame:
-    """About ``bound`` rows (all, if fewer), chosen by a hash of the id: no order, no single task."""
+def hash_sample(df: DataFrame, id_col: str, text_col: str, bound: int, seed: int) -> DataFrame:
+    """About ``bound`` rows (all, if fewer), chosen by a hash of id and text: no order, no single task, and
+    rows whose ids are null or repeated are chosen one by one."""
     total = df.count()
     if total <= bound:
         return df
-    return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 30)) < int(bound / total * (1 << 30)))
+    return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) < int(bound / total * (1 << 30)))
 
 
 def _ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -63,9 +68,13 @@ class Model:
         smooth = counts + alpha
         self.table = np.ascontiguousarray(np.log(smooth / smooth.sum(0)).astype(np.float32))
         self.prior = np.log((docs + 1) / (docs.sum() + len(docs))) if len(docs) else np.zeros(0)
+        letters_seen = np.maximum(counts.sum(0) / 3, 1)  # three n-grams a letter
+        self.usual = (counts * self.table).sum(0) / letters_seen
+        self.span = np.maximum(self.usual - 3 * self.table.min(0), 1e-6) if len(langs) else self.usual
 
-    def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        langs, scores = [], []
+    def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Languages, posteriors, fits and numbers of letters (``und``: score and fit 0)."""
+        langs, scores, fits, sizes = [], [], [], []
         for _, data, offsets in text_slices(texts):
             grams, first = _ngrams(data, offsets)
             total = np.zeros((len(offsets) - 1, len(self.langs)))
@@ -75,6 +84,7 @@ class Model:
                     column = np.ascontiguousarray(self.table[:, j])
                     each = column[grams[0]] + column[grams[1]] + column[grams[2]]
                     total[full, j] = np.add.reduceat(each, first[full], dtype=np.float64)
+                fit = (total / np.maximum(np.diff(first), 1)[:, None] - self.usual) / self.span
                 total[full] += self.prior
                 best = total.argmax(1)
                 share = np.exp(total - total.max(1, keepdims=True))
@@ -84,12 +94,15 @@ class Model:
                 known = not empty[i] and bool(self.langs)
                 langs.append(self.langs[best[i]] if known else "und")
                 scores.append(float(top[i]) if known else 0.0)
-        return langs, np.array(scores, np.float64)
+                fits.append(float(fit[i, best[i]]) if known else 0.0)
+            sizes.append(np.diff(first))
+        whole = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+        return langs, np.array(scores, np.float64), np.array(fits, np.float64), whole.astype(np.int64)
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> Model:
-    """Fit on the rows of ``df`` with a language, about ``rows`` of them chosen by a hash of the id."""
-    known = hash_sample(df.filter(F.col(lang_col).isNotNull()), id_col, rows, 10)
+    """Fit on the rows of ``df`` with a language, about ``rows`` of them chosen by a hash of id and text."""
+    known = hash_sample(df.filter(F.col(lang_col).isNotNull()), id_col, text_col, rows, 10)
     known = known.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,17 +138,19 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return Model(langs, counts, docs)
 
 
-_RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+_RESULT = T.StructType([
+    T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType()), T.StructField("letters", T.LongType())
+])
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> Column:
-    """Struct (lang_pred, score) of a text column of ``df``; one Arrow batch at a time."""
+    """Struct (lang_pred, score, fit, letters) of a text column of ``df``; one Arrow batch at a time."""
     held = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(_RESULT)
     def run(texts: pa.Array) -> pa.Array:
-        langs, scores = held.value.score(texts)
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+        langs, *numbers = held.value.score(texts)
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), *map(pa.array, numbers)], names=["lang_pred", "score", "fit", "letters"])
 
     return run(F.col(text_col).cast("string"))
 

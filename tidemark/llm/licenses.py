@@ -1,12 +1,14 @@
 """License notices by conditional compression.
 
 A template is cut into one piece more than the words that may differ, so every stretch that may be
-confirmed holds one of its pieces word for word. Candidate blocks are the words around all pieces. A block
-is compressed by zstandard alone and again with each template that has a piece in it as a raw dictionary;
-what the dictionary saves measures how much of the template's wording the block has. A template is
-confirmed only if the words that differ between it and the best-matching stretch of the block are few;
-of templates that claim the same words the one with most of its words there wins, then the one that saves
-most. The differing words are reported. A block may hold several notices.
+confirmed holds one of its pieces word for word. Candidate blocks are the words around all pieces. Every
+template with a piece in a block claims the stretches there that differ from it in few words. A stretch
+is compressed by zstandard alone and again with the template as a raw dictionary, and what the dictionary
+saves ranks the claims: the one that saves most takes its words, then the next one that still has them free.
+The words that differ are what confirms a claim, and they are reported. A block may hold several notices.
+
+The word that holds a license's version must be there. A claim without it is ranked behind all others and
+reported as another version of the license, not as the license.
 """
 
 from __future__ import annotations
@@ -65,7 +67,24 @@ TEMPLATES = {
     "Public domain (released)": "released into the public domain",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "Unlicense (name)": "Released under the Unlicense.",
+    "Apache-2.0 (heading)": "Apache License Version 2.0",
+    "AGPL-3.0 (short)": "GNU Affero General Public License v3",
+    "GPL-2.0 (short)": "GNU General Public License v2",
+    "GPL-3.0 (short)": "GNU General Public License v3",
+    "LGPL-2.1 (short)": "GNU Lesser General Public License v2.1",
+    "LGPL-3.0 (short)": "GNU Lesser General Public License v3",
+    "MIT (heading)": "The MIT License",
+    "MIT (name)": "MIT License",
 }
+# Names that stand in the license line of a source file.
+SPDX = (
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0-only",
+    "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "MIT", "MPL-2.0", "Unlicense",
+)
+TEMPLATES |= {f"{name} (file line)": f"SPDX-License-Identifier: {name}" for name in SPDX}
+OTHER = " (other version)"
+RIGHTS = ("All rights reserved", "Copyright", "Public domain")  # names of statements that grant no license begin so
 LEVEL = 3
 DIFFERENT = 0.2  # of the template's words, at most
 
@@ -86,6 +105,17 @@ def _key(word: str) -> str:
     return "<year>" if _IS_YEAR.fullmatch(word) else word
 
 
+def version_words(words: list[str]) -> set[int]:
+    """Places of the words of a template that tell versions of a license apart: a number with a point in it or
+    after "version" or "v", "v3" and "2-clause". Numbers of conditions are none."""
+    found = set()
+    for i, word in enumerate(words):
+        number = re.fullmatch(r"(v?)([0-9]+(?:\.[0-9]+)*)(-clause)?", word)
+        if number and (number[1] or number[3] or "." in number[2] or (i and words[i - 1] in ("version", "v"))):
+            found.add(i)
+    return found
+
+
 def pieces(words: list[str]) -> list[tuple[str, ...]]:
     """One piece more than the words that may differ: at least one is whole in any stretch that is confirmed."""
     parts = int(DIFFERENT * len(words)) + 1
@@ -114,6 +144,7 @@ class Scanner:
         self.names = sorted(templates)
         texts = [" ".join(templates[n].lower().split()) for n in self.names]
         self.words = [[_key(w) for w in t.split()] for t in texts]
+        self.versions = [version_words(w) for w in self.words]
         self.reach = max(len(w) + int(DIFFERENT * len(w)) for w in self.words)
         self.pieces: dict[str, dict[tuple[str, ...], set[int]]] = {}
         for j, words in enumerate(self.words):
@@ -150,37 +181,49 @@ class Scanner:
                 yield [text[a:b] for a, b in part], part, set().union(*(owners for at, owners in marks if start <= at < end))
 
     def scan(self, text: str) -> list[tuple]:
-        """(license, first character, end, bytes saved, words missing, words extra), by place."""
+        """(license, kind, first character, end, bytes saved, words missing, words extra), by place."""
         found: dict[tuple, tuple] = {}
         for words, places, owners in self.blocks(text):
             plain, keys = [_plain(w) for w in words], [_key(w) for w in words]
-            data = " ".join(words).lower().encode()
-            alone = self.alone(data)
-            saved = {j: alone - len(self.with_one[j].compress(data)) for j in sorted(owners)}
             free = [True] * len(plain)
-            hits = {j: list(self.confirm(j, plain, keys, free)) for j in saved}
+            hits = {j: [self.ranked(j, words, h) for h in self.confirm(j, plain, keys, free)] for j in sorted(owners)}
             while any(hits.values()):
-                _, _, j, (lo, hi, missing, extra) = min(
-                    ((len(h[2]) * 2 + len(h[3]) - len(self.words[j]), -saved[j], j, h) for j, mine in hits.items() for h in mine), key=lambda x: x[:3]
-                )
+                (other, less, _, j), (lo, hi, missing, extra) = min((h for mine in hits.values() for h in mine), key=lambda h: (h[0], h[1][0]))
                 free[lo:hi] = [False] * (hi - lo)
                 key = (places[lo][0], places[hi - 1][1])
-                found.setdefault(key, (self.names[j], *key, saved[j], " ".join(missing), " ".join(extra)))
+                name, kind = self.names[j] + OTHER * other, "rights" if self.names[j].startswith(RIGHTS) else "license"
+                lost = " ".join(self.words[j][i] for i in missing)
+                found.setdefault(key, (name, kind, *key, -less, lost, " ".join(extra)))
                 for k, mine in hits.items():
-                    if any(h[0] < hi and lo < h[1] for h in mine):
-                        hits[k] = [h for h in self.confirm(k, plain, keys, free)]
+                    kept = [h for h in mine if h[1][1] <= lo or hi <= h[1][0]]
+                    if len(kept) < len(mine):  # what is left of a stretch may still be a notice: look around the words taken
+                        left, span = list(free), 2 * len(self.words[k])
+                        for _, (a, b, *_) in kept:
+                            left[a:b] = [False] * (b - a)
+                        again = self.confirm(k, plain, keys, left, max(0, lo - span), min(len(keys), hi + span))
+                        hits[k] = kept + [self.ranked(k, words, h) for h in again]
         out: list[tuple] = []
-        for hit in sorted(found.values(), key=lambda h: (h[1], -h[2])):
-            if not out or hit[1] >= out[-1][2]:
+        for hit in sorted(found.values(), key=lambda h: (h[2], -h[3])):
+            if not out or hit[2] >= out[-1][3]:
                 out.append(hit)
         return out
 
-    def confirm(self, j: int, plain: list[str], keys: list[str], free: list[bool]) -> Iterator[tuple[int, int, list[str], list[str]]]:
-        """Stretches of free words that differ from template j in few words: those words."""
+    def ranked(self, j: int, words: list[str], hit: tuple) -> tuple[tuple, tuple]:
+        """A stretch behind what ranks it, least first: another version, bytes saved (negative), differing words, name."""
+        lo, hi, missing, extra = hit
+        data = " ".join(words[lo:hi]).lower().encode()
+        less = len(self.with_one[j].compress(data)) - self.alone(data)
+        return (not self.versions[j].isdisjoint(missing), less, len(missing) + len(extra), j), hit
+
+    def confirm(
+        self, j: int, plain: list[str], keys: list[str], free: list[bool], first: int = 0, last: int | None = None
+    ) -> Iterator[tuple[int, int, list[int], list[str]]]:
+        """Stretches of free words that differ from template j in few words and begin at ``first`` to ``last``:
+        places of the template's words that are missing, and the words that it does not have."""
         template, most = self.words[j], DIFFERENT * len(self.words[j])
         rare = set(template)
         left = list(free)
-        for start in range(len(keys)):
+        for start in range(first, len(keys) if last is None else last):
             if not left[start] or keys[start] not in rare or (start and left[start - 1] and keys[start] != template[0] and keys[start - 1] in rare):
                 continue
             lo = -1
@@ -194,7 +237,7 @@ class Scanner:
             hi = start + blocks[-1].b + blocks[-1].size
             same = {b.a + i for b in blocks for i in range(b.size)}
             inside = {start + b.b + i for b in blocks for i in range(b.size)}
-            missing = [template[i] for i in range(len(template)) if i not in same]
+            missing = [i for i in range(len(template)) if i not in same]
             extra = [plain[i] for i in range(lo, hi) if i not in inside]
             if len(missing) + len(extra) <= most:
                 left[lo:hi] = [False] * (hi - lo)
@@ -202,11 +245,13 @@ class Scanner:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
-    """One row for each notice found: doc_id, nth (from 0), license, begin, end (characters), saved
-    (bytes that the template saves on the block), missing, extra (differing words; both empty: exact).
+    """One row for each notice found: doc_id, nth (from 0), license, kind (``rights`` for statements that grant
+    no license, else ``license``), begin, end (characters), saved (bytes that the template saves on
+    these words), missing, extra (differing words; both empty: exact).
 
     Only texts with a piece of a template go to Python. Notices do not overlap. Defined results: null and
-    empty texts, and texts without a notice, have no row; of equal claims the first name wins;
+    empty texts, and texts without a notice, have no row; a notice whose version is of no template has the
+    nearest name and ``(other version)``; of equal claims the first name wins;
     repeated rows give repeated results; an empty table gives an empty table. Other columns are not read.
     """
     known = dict(templates or TEMPLATES)
@@ -215,8 +260,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
         scanner = Scanner(known)
         for part in parts:
             rows = [(i, n, *hit) for i, text in zip(part["doc_id"], part["text"]) for n, hit in enumerate(scanner.scan(text))]
-            yield pd.DataFrame(rows, columns=["doc_id", "nth", "license", "begin", "end", "saved", "missing", "extra"])
+            yield pd.DataFrame(rows, columns=["doc_id", "nth", "license", "kind", "begin", "end", "saved", "missing", "extra"])
 
     texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike(mark(known)))
     kind = df.schema[id_col].dataType.simpleString()
-    return texts.mapInPandas(run, f"doc_id {kind}, nth int, license string, begin bigint, end bigint, saved int, missing string, extra string")
+    return texts.mapInPandas(run, f"doc_id {kind}, nth int, license string, kind string, begin bigint, end bigint, saved int, missing string, extra string")
