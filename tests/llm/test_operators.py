@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +167,28 @@ def test_rare_insults_are_learned_from_all_labels(spark):
     assert found.filter("predicted != toxic").count() == 0
 
 
+def test_learning_takes_little_memory_of_the_driver(spark):
+    """The vectors of the examples reach the driver as flat numbers, not as an object for each."""
+    rng = random.Random(8)
+    make = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n)]
+    plain, insults = make(300), make(60)
+    said = lambda words, toxic: ". ".join(" ".join([*rng.choices(words, k=4), *rng.choices(insults, k=toxic)]) for _ in range(3))
+    rows = [(i, said(plain, int(i % 3 == 0)), int(i % 3 == 0)) for i in range(5000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([r[::2] for r in rows], "doc_id bigint, toxic int")
+    tracemalloc.start()
+    try:
+        model = toxicity.train(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.landmarks.words) >= 50
+    numbers = 5000 * 4 / 5 * toxicity.SENTENCES * len(model.landmarks.words)
+    assert peak < 30 * numbers
+    scores = model.score(pa.array([said(plain, 1), said(plain, 0)]))
+    assert scores[0] > 0.5 > scores[1]
+
+
 def test_features_hold_with_dropped_and_replaced_letters():
     words = ["worthless", "pathetic", "stupid", "loser", "moron", "idiot"]
     texts = ["wrthless", "pthetic", "stpid", "lser", "w*rthless", "p4thetic", "st*pid", "l0ser", "m0ron", "1diot", "sxtxuxpxixd"]

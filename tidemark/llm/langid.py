@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,14 +128,15 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                 names=["lang", "bucket", "n"],
             )
 
-    summed = known.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(summed["lang"].unique())
+    summed = known.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    langs = sorted(summed["lang"].unique().to_pylist())
+    bucket, n = summed["bucket"].to_numpy(), summed["n"].to_numpy()
     counts, docs = np.zeros((1 << BUCKET_BITS, len(langs))), np.zeros(len(langs))
     for j, lang in enumerate(langs):
-        part = summed[summed["lang"] == lang]
-        inner = part[part["bucket"] >= 0]
-        counts[inner["bucket"], j] = inner["n"]
-        docs[j] = part.loc[part["bucket"] < 0, "n"].sum()
+        mine = pc.equal(summed["lang"], lang).to_numpy()
+        inner = mine & (bucket >= 0)
+        counts[bucket[inner], j] = n[inner]
+        docs[j] = n[mine & (bucket < 0)].sum()
     return Model(langs, counts, docs)
 
 

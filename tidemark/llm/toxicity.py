@@ -338,16 +338,17 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                         mine = np.concatenate([table[row], values[lo:hi]]) if row in table else values[lo:hi]
                         table[row] = mine[np.lexsort((*mine.T, -mine.sum(1), -mine.max(1)))[:SENTENCES]]
                 for row in range(len(offsets) - 1):
-                    found.append((table.get(row, np.zeros(size)) ** POWER).ravel().astype(float).tolist())
+                    found.append((table.get(row, np.zeros(size)) ** POWER).ravel().astype(np.float32))
                     toxic.append(names[start + row])
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.list_(pa.float32()))], names=["toxic", "x"])
 
     if not size:
         return Model(landmarks, np.zeros(0), -1.0)
     sampled = marks.filter("sampled").select("id", "hash", "toxic")  # about ``rows`` rows
     sample = texts.join(F.broadcast(sampled), ["id", "hash"]).dropDuplicates(["id", "hash"])
-    examples = sample.select("text", "toxic").mapInArrow(nearest, "toxic int, x array<double>").collect()
-    bags = [(e["toxic"], np.array(e["x"]).reshape(-1, size)) for e in sorted(examples, key=lambda e: (e["toxic"], e["x"]))]
+    examples = sample.select("text", "toxic").mapInArrow(nearest, "toxic int, x array<float>").toArrow()  # no object for each number
+    bags = [(toxic, x.values.to_numpy().reshape(-1, size)) for toxic, x in zip(examples["toxic"].to_pylist(), examples["x"])]
+    bags.sort(key=lambda bag: (bag[0], bag[1].astype(">f4").tobytes()))  # no value is below 0, so bytes sort as the values do
     y = np.array([1.0 if toxic else -1.0 for toxic, _ in bags])
     each = np.where(y > 0, 1 / keep_bad, 1 / keep_good)
     each *= cost / each.sum()
